@@ -127,7 +127,10 @@ def _normalizer(form: str):
     def normalize(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: unicodedata.normalize(form, t), na_action="ignore")
 
-    return normalize
+    # The result is a function of the text. The mark only keeps the optimizer from
+    # pushing a later filter below it, which would run the whole chain twice and
+    # multiply its expressions.
+    return normalize.asNondeterministic()
 
 
 def _normalized(text: Column, form: str) -> Column:

@@ -117,5 +117,5 @@ def classifier_accuracy(weights: DataFrame, examples: DataFrame, values: str = "
     if packed.count() > MAX_CLASSES:
         raise ValueError(f"at most {MAX_CLASSES} classes can be scored")
     classes = packed.agg(F.array_sort(F.collect_list(F.struct("tensor", "values")))).scalar()
-    hit = _nearest(F.col(values), classes) == F.col(label).cast("string")
-    return examples.agg(F.round(F.avg(hit.cast("int")), 4).alias("accuracy"))
+    hit = _nearest(F.col(values), F.col("_classes")) == F.col(label).cast("string")
+    return examples.select(values, label, classes.alias("_classes")).agg(F.round(F.avg(hit.cast("int")), 4).alias("accuracy"))

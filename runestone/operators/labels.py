@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runestone import settings
@@ -30,10 +30,11 @@ def standardize(
     text_col: str,
     label_col: str,
     label_text_col: str,
-    language: str,
+    language: str | Column,
     key: str | None = None,
 ) -> DataFrame:
-    """Canonical columns with the language stamped on; ``key`` is kept as ``doc_id``."""
+    """Canonical columns; ``language`` is stamped on, or read from a column when the
+    source holds several. ``key`` is kept as ``doc_id``."""
     require_columns(df, [text_col, label_col, label_text_col] + ([key] if key else []))
     kept = [F.col(key).alias("doc_id")] if key else []
     return df.select(
@@ -41,7 +42,7 @@ def standardize(
         F.col(text_col).cast("string").alias("text"),
         F.col(label_col).alias("label"),
         F.col(label_text_col).cast("string").alias("label_text"),
-        F.lit(language).alias("language"),
+        (F.lit(language) if isinstance(language, str) else language).alias("language"),
     )
 
 

@@ -25,16 +25,16 @@ def piece_counts(corpus: DataFrame, text: str = "text", max_piece: int = MAX_PIE
         corpus.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(LETTER_RUN), F.lit(0))).alias("word"))
         .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )
-    pieces = F.concat(*[
-        F.transform(
-            F.regexp_extract_all("word", F.lit("(?s)(?=(" + "." * k + "))"), F.lit(1)),
-            lambda piece, i, k=k: F.struct(
-                F.when(i == 0, piece).otherwise(F.concat(F.lit(CONTINUATION), piece)).alias("piece"),
-                F.lit(k).alias("length"),
-            ),
-        )
-        for k in range(1, max_piece + 1)
-    ])
+
+    def windows(k: int) -> Column:
+        # A look-ahead matches at every character: all windows of k in one pass.
+        found = F.regexp_extract_all("word", F.lit("(?s)(?=(" + "." * k + "))"), F.lit(1))
+        return F.transform(found, lambda piece, i: F.struct(
+            F.when(i == 0, piece).otherwise(F.concat(F.lit(CONTINUATION), piece)).alias("piece"),
+            F.lit(k).alias("length"),
+        ))
+
+    pieces = F.concat(*[windows(k) for k in range(1, max_piece + 1)])
     return (
         words.select("n", F.explode(pieces).alias("p"))
         .groupBy(F.col("p.piece").alias("piece"), F.col("p.length").alias("length"))

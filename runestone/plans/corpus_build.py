@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from runestone import settings
 from runestone.operators.cleaning import clean_corpus, drop_ghosts
 from runestone.operators.labels import (
-    check_language, encode_labels, language_label_map, standardize, union_corpora,
+    encode_labels, language_label_map, standardize, union_corpora,
 )
 from runestone.operators.sampling import demo_sample, stratified_sample
 from runestone.sources.tables import write_corpus
@@ -33,17 +33,19 @@ def build_corpus(
     The label space is the default language's, taken before any sampling, and is
     computed once for all languages.
     """
-    for language in languages:
-        check_language(language, languages)
+    wanted = raw.filter(F.col(language_col).isin(list(languages)))
     labels = labels if labels is not None else language_label_map(raw, default_language, label_text_col, language_col)
-    frames = []
-    for language in languages:
-        part = raw.filter(F.col(language_col) == language)
-        part = stratified_sample(part, sample_size, label_text_col, key)
-        frames.append(standardize(
-            part.withColumn("_label", F.lit(None).cast("int")), text_col, "_label", label_text_col, language, key
-        ))
-    encoded = encode_labels(union_corpora(frames), labels, "doc_id", strict)
+    if sample_size is not None:
+        wanted = union_corpora([
+            stratified_sample(wanted.filter(F.col(language_col) == lang), sample_size, label_text_col, key)
+            for lang in languages
+        ])
+    # One scan for all languages: the language is a column, not a source.
+    shaped = standardize(
+        wanted.withColumn("_label", F.lit(None).cast("int")), text_col, "_label", label_text_col,
+        F.col(language_col), key,
+    )
+    encoded = encode_labels(shaped, labels, "doc_id", strict)
     return drop_ghosts(clean_corpus(encoded)).select(
         "doc_id", "text", "label", "label_text", "language"
     )
