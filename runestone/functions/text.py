@@ -3,9 +3,10 @@ r"""Text cleaning as column expressions (``Column -> Column``).
 Every removal leaves one space. Each cleaner looks for a cheap literal first, so
 texts without the noise skip the regular expression.
 
-Java and Python differ on what white space, word characters and line ends are;
-the classes below spell out Python's meaning, and ``(?md)`` makes ``^ $ .`` stop
-at ``\n`` only.
+Java and Python differ on what white space, word characters and line ends are.
+``(?U)`` gives ``\s`` the Unicode meaning, to which SPACE adds the four separators
+that only Python counts; ``(?md)`` makes ``^ $ .`` stop at ``\n`` only. Classes are
+kept to a few members: each further range is one more test per character.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ def _class_of(ranges: Sequence[tuple[int, int]]) -> str:
                    for low, high in ranges)
 
 
-# Members of a character class: what str.isspace() accepts.
+# Members of a character class under (?U): what str.isspace() accepts.
+SPACE = r"\s\x1c-\x1f"
 SPACE_CHARACTERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
-SPACE = _class_of([(ord(c), ord(c)) for c in SPACE_CHARACTERS])
 NOT_SPACE = f"[^{SPACE}]"
 # Members of a character class: what \w accepts in Python.
 WORD = r"\p{L}\p{N}_"
@@ -43,13 +44,13 @@ HEADER_NAMES = [
 
 # The noise patterns.
 TAG = "<[^>]+>"
-URL = rf"http[s]?://{NOT_SPACE}+|www\.{NOT_SPACE}+"
+URL = rf"(?U)http[s]?://{NOT_SPACE}+|www\.{NOT_SPACE}+"
 EMAIL = rf"{EDGE}[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}{EDGE}"
 SIGNATURE = r"(?msd)^-- ?$.*"
 HEADER = rf"(?md)^(?:{'|'.join(HEADER_NAMES)}|X-[{WORD}-]+):.*$"
-ATTRIBUTION = rf"(?md)^(?:In article{EDGE}.*|.*{EDGE}(?:writes|wrote):)[{SPACE}]*$"
-QUOTED_LINE = rf"(?md)^[{SPACE}]*+(?:>|\||[A-Za-z]{{1,4}}>|:[{SPACE}]*>?).*$"
-LONG_SPACE = f"[{SPACE}]{{2,}}"
+ATTRIBUTION = rf"(?mdU)^(?:In article{EDGE}.*|.*{EDGE}(?:writes|wrote):)[{SPACE}]*$"
+QUOTED_LINE = rf"(?mdU)^[{SPACE}]*+(?:>|\||[A-Za-z]{{1,4}}>|:[{SPACE}]*>?).*$"
+LONG_SPACE = f"(?U)[{SPACE}]{{2,}}"
 
 # Characters that NFC and NFKC always keep and that never join the character
 # before them: ASCII, most of Latin-1 and Latin Extended-A, Greek and Cyrillic
@@ -62,6 +63,7 @@ STABLE_RANGES = [
     (0x2018, 0x2022), (0x20AC, 0x20AC), (0x4E00, 0x9FFF),
 ]
 MAYBE_UNSTABLE = f"[^{_class_of(STABLE_RANGES)}]"
+ASCII_RUN = r"[\x00-\x7f]+"
 
 
 def _replace_if(text: Column, present: Column, pattern: str) -> Column:
@@ -137,7 +139,10 @@ def _normalized(text: Column, form: str) -> Column:
     # Spark has no normalisation. Only texts that could change go to Python, the
     # rest are sent as NULL: the test must sit inside the UDF's argument, since a
     # UDF under a CASE is still run for every row.
-    risky = F.when(text.rlike(MAYBE_UNSTABLE), text)
+    # The long class is only tried on what is left after the ASCII characters.
+    beyond = F.regexp_replace(text, ASCII_RUN, "")
+    unstable = (F.octet_length(text) > F.length(text)) & beyond.rlike(MAYBE_UNSTABLE)
+    risky = F.when(unstable, text)
     return F.coalesce(_normalizer(form)(risky), text)
 
 
@@ -155,7 +160,15 @@ def non_ascii_count(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """len(text.split()), NULL for NULL."""
-    return F.regexp_count(text, F.lit(f"{NOT_SPACE}+"))
+    return F.regexp_count(text, F.lit(f"(?U){NOT_SPACE}+"))
+
+
+def has_words(text: Column, n: int) -> Column:
+    """``word_count(text) >= n``, false for NULL; reads only as far as the n-th word."""
+    if n <= 0:
+        return F.lit(True)
+    rest = f"(?:[{SPACE}]++{NOT_SPACE}++){{{n - 1}}}"
+    return F.coalesce(text.rlike(rf"(?U)\A[{SPACE}]*+{NOT_SPACE}++{rest}"), F.lit(False))
 
 
 # The steps of news-noise removal, in order.

@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from runestone import settings
-from runestone.functions.text import SPACE
+from runestone.functions.text import NOT_SPACE
 
-LETTER_RUN = r"[\p{L}\p{M}\p{N}]+"
-TOKEN = rf"{LETTER_RUN}|[^{SPACE}\p{{L}}\p{{M}}\p{{N}}]"
+LETTER_RUN = r"[\p{L}\p{M}\p{N}]++"
+TOKEN = rf"(?U){LETTER_RUN}|{NOT_SPACE}"
 
 
 def word_tokens(text: Column) -> Column:

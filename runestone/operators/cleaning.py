@@ -17,16 +17,14 @@ def clean_corpus(corpus: DataFrame) -> DataFrame:
 
 def drop_ghosts(corpus: DataFrame, min_words: int = settings.MIN_WORDS) -> DataFrame:
     """Keep texts with at least ``min_words`` words; NULL counts as empty."""
-    return corpus.filter(F.coalesce(tx.word_count(F.col("text")), F.lit(0)) >= min_words)
+    return corpus.filter(tx.has_words(F.col("text"), min_words))
 
 
 def clean_and_drop(corpus: DataFrame, min_words: int = settings.MIN_WORDS, passes: int = 1) -> DataFrame:
     """Add ``clean_text`` and drop what is NULL, blank or too short once cleaned."""
-    cleaned = tx.sanitize(corpus.filter(F.col("text").isNotNull()), passes=passes)
-    # A blank text cleans to '', so the threshold also covers it while it is >= 1.
-    return cleaned.filter(
-        (tx.word_count(F.col("clean_text")) >= min_words) & (tx.word_count(F.col("text")) >= 1)
-    )
+    # Blank texts go first, before any of the cleaning is done for them.
+    cleaned = tx.sanitize(corpus.filter(tx.has_words(F.col("text"), 1)), passes=passes)
+    return cleaned.filter(tx.has_words(F.col("clean_text"), min_words))
 
 
 def cleaning_columns(df: DataFrame, text: str = "text", clean: str = "clean_text") -> DataFrame:

@@ -69,11 +69,13 @@ def duplicates(df: DataFrame, text: str = "text") -> DataFrame:
 def length_counts(df: DataFrame, text: str = "text", by: str = "language",
                   min_words: int = settings.PROFILE_MIN_WORDS) -> DataFrame:
     """Documents per (``by``, words), for documents of at least ``min_words``."""
-    return (
+    counted = (
         df.select(by, F.coalesce(tx.word_count(F.col(text)), F.lit(0)).alias("words"))
-        .filter(F.col("words") >= min_words)
-        .groupBy(by, "words").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(by, "words").agg(F.count(F.lit(1)).alias("n"), F.max("words").alias("_words"))
     )
+    # A filter on the grouping key would move below the aggregation and count the
+    # words of every text twice; one on an aggregate stays here, on a small table.
+    return counted.filter(F.col("_words") >= min_words).drop("_words")
 
 
 def _describe_columns() -> list:
