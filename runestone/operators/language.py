@@ -25,11 +25,17 @@ MICRO = 1_000_000
 MAX_LANGUAGES = 200
 
 
+# Words whose score is kept ready-made: few words make up most of any text.
+COMMON_WORDS = 50_000
+
+
 @dataclass(frozen=True)
 class LanguageProfiles:
-    """``scores``: (gram, scores array<bigint>), one entry per language in order."""
+    """``grams``: (gram, scores) and ``words``: (word, scores), the sum over the grams
+    of the commonest words. ``scores`` has one bigint per language, in order."""
 
-    scores: DataFrame
+    grams: DataFrame
+    words: DataFrame
     languages: list[str]
 
 
@@ -48,49 +54,49 @@ def _grams(word: Column) -> Column:
     )
 
 
-def gram_counts(corpus: DataFrame, text: str = "text", language: str = "language") -> DataFrame:
-    """``(language, gram, n)``. Words are counted first, so grams are only taken of
-    distinct words; both aggregations combine on the map side."""
-    words = (
-        corpus.filter(F.col(language).isNotNull())
-        .select(F.col(language).alias("language"), F.explode(_words(F.col(text))).alias("word"))
-        .groupBy("language", "word").agg(F.count(F.lit(1)).alias("n"))
-    )
-    return (
-        words.select("language", "n", F.explode(_grams(F.col("word"))).alias("gram"))
-        .groupBy("language", "gram").agg(F.sum("n").alias("n"))
-    )
-
+def fit_profiles(
+    corpus: DataFrame, text: str = "text", language: str = "language", common_words: int = COMMON_WORDS
+) -> LanguageProfiles:
+    """Add-one smoothed log-probabilities of every gram in every language.
 
-def fit_profiles(corpus: DataFrame, text: str = "text", language: str = "language") -> LanguageProfiles:
-    """Add-one smoothed log-probabilities of every gram in every language."""
-    counts = settle(gram_counts(corpus, text, language))
-    totals = {
-        row.language: row.n
-        for row in counts.groupBy("language").agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    }
-    if not totals:
+    Words are counted first, so grams are only taken of distinct words; counting
+    combines on the map side, so a common word or gram is no hot key.
+    """
+    labelled = corpus.filter(F.col(language).isNotNull())
+    names = labelled.select(language).distinct().limit(MAX_LANGUAGES + 1).collect()
+    if not names:
         raise ValueError("no labelled text to learn languages from")
-    if len(totals) > MAX_LANGUAGES:
+    if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages = sorted(totals)
-    per_gram = settle(counts.groupBy("gram").agg(
-        *[F.coalesce(F.sum(F.when(F.col("language") == lang, F.col("n"))), F.lit(0)).alias(f"n{i}")
-          for i, lang in enumerate(languages)]
-    ))
-    vocabulary = per_gram.count()
-    scores = [
-        F.round(F.log((F.col(f"n{i}") + 1).cast("double") / F.lit(float(totals[lang] + vocabulary))) * MICRO)
-        .cast("long")
-        for i, lang in enumerate(languages)
-    ]
-    return LanguageProfiles(settle(per_gram.select("gram", F.array(*scores).alias("scores"))), languages)
+    languages = sorted(row[0] for row in names)
+    columns = [f"n{i}" for i in range(len(languages))]
+    words = settle(
+        labelled.select(F.col(language).alias("_of"), F.explode(_words(F.col(text))).alias("word"))
+        .groupBy("word").agg(*[F.count_if(F.col("_of") == lang).alias(c) for c, lang in zip(columns, languages)])
+    )
+    counts = settle(
+        words.select(*columns, F.explode(_grams(F.col("word"))).alias("gram"))
+        .groupBy("gram").agg(*[F.sum(c).alias(c) for c in columns])
+    )
+    totals = counts.agg(F.count(F.lit(1)).alias("grams"), *[F.sum(c).alias(c) for c in columns]).first()
+    grams = counts.select("gram", F.array(*[
+        F.round(
+            F.log((F.col(c) + 1).cast("double") / F.lit(float((totals[c] or 0) + totals.grams))) * MICRO
+        ).cast("long")
+        for c in columns
+    ]).alias("scores"))
+    common = words.orderBy(F.desc(sum(F.col(c) for c in columns)), "word").limit(common_words).select("word")
+    spelled = common.select("word", F.explode(_grams(F.col("word"))).alias("gram"))
+    scored = join_dimension(spelled, grams, ["gram"], "inner", salt_by="word", settled=True)
+    ready = scored.groupBy("word").agg(
+        F.array(*[F.sum(F.get("scores", F.lit(i))) for i in range(len(languages))]).alias("scores"))
+    return LanguageProfiles(grams, settle(ready), languages)
 
 
 def profile_rows(profiles: LanguageProfiles) -> DataFrame:
     """``(language, gram, score)``."""
     names = F.array(*[F.lit(lang) for lang in profiles.languages])
-    return profiles.scores.select(
+    return profiles.grams.select(
         "gram", F.posexplode("scores").alias("_i", "score")
     ).select(F.get(names, F.col("_i")).alias("language"), "gram", "score")
 
@@ -98,11 +104,19 @@ def profile_rows(profiles: LanguageProfiles) -> DataFrame:
 def detect(df: DataFrame, profiles: LanguageProfiles, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(key, detected)``: the language with the highest score, the first name on a
     tie, NULL for a text without letters or without a known gram."""
-    words = df.select(key, F.explode(word_frequencies(_words(F.col(text)))).alias("w"))
-    grams = words.select(key, F.col("w.n").alias("n"), F.explode(_grams(F.col("w.word"))).alias("gram"))
-    scored = join_dimension(grams, profiles.scores, ["gram"], "inner", salt_by=key, settled=True)
-    # A document's grams sit in one task, so partial sums leave one row per document.
-    sums = scored.groupBy(key).agg(*[
+    words = df.select(key, F.explode(word_frequencies(_words(F.col(text)))).alias("w")).select(
+        key, F.col("w.word").alias("word"), F.col("w.n").alias("n")
+    )
+    ready = profiles.words.withColumnRenamed("scores", "word_scores")
+    known = join_dimension(words, ready, ["word"], "left", salt_by=key, settled=True)
+    # A word with a ready score stays one row without grams, any other is spelled out.
+    spelled = known.select(key, "n", "word_scores", F.explode(
+        F.when(F.col("word_scores").isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(_grams(F.col("word")))
+    ).alias("gram"))
+    scored = join_dimension(spelled, profiles.grams, ["gram"], "left", salt_by=key, settled=True)
+    score = F.coalesce("word_scores", "scores")
+    # A document's words sit in one task, so partial sums leave one row per document.
+    sums = scored.select(key, "n", score.alias("scores")).filter(F.col("scores").isNotNull()).groupBy(key).agg(*[
         F.sum(F.col("n") * F.get("scores", F.lit(i))).alias(f"s{i}")
         for i in range(len(profiles.languages))
     ])
@@ -111,7 +125,6 @@ def detect(df: DataFrame, profiles: LanguageProfiles, text: str = "text", key: s
         for i, lang in enumerate(profiles.languages)
     ]))
     best = F.get(ranked, F.lit(0))
-    # Detection is linear in the text, the scores of the winner are worth keeping.
     return sums.select(key, best["language"].alias("detected"), (-best["cost"]).alias("score"))
 
 
