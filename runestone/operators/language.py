@@ -172,7 +172,8 @@ def with_language(
         # One shuffle by key serves the sums per document and the join.
         keyed = unknown.drop("language").repartition(key)
         found = detect(keyed, profiles, text, key).select(key, "detected")
-        return keyed.join(found, key, "left").withColumn(
+        # One small row per document: hash that side instead of sorting the texts.
+        return keyed.join(found.hint("shuffle_hash"), key, "left").withColumn(
             "language", route_language(F.col("detected"), supported, default)
         ).drop("detected")
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from runestone import settings
 from runestone.functions.arrays import majority_labels, most_common, word_frequencies
 from runestone.functions.text import strip_edges
-from runestone.functions.tokens import word_tokens
 from runestone.operators.scaling import join_dimension
 
 # One alternative per kind of mention; the last one swallows ordinary words, so a
@@ -30,6 +29,10 @@ MENTION = "|".join([
     NUMBER,
     r"\p{Lu}[\p{L}\p{M}]+(?: \p{Lu}[\p{L}\p{M}]+)*",
 ])
+# A whole word token that is all letters.
+CANDIDATE = (
+    rf"(?<![\p{{L}}\p{{M}}\p{{N}}])\p{{L}}{{{settings.MIN_KEYWORD_LENGTH},}}+(?![\p{{M}}\p{{N}}])"
+)
 MENTION_OR_WORD = rf"({MENTION})|[\p{{L}}\p{{M}}\p{{N}}]+"
 
 
@@ -132,9 +135,7 @@ def stop_words(language: Column) -> Column:
 
 def candidate_words(text: Column) -> Column:
     """Alphabetic words of at least three letters, lower-cased, in order."""
-    kept = F.filter(word_tokens(text), lambda t: (
-        (F.length(t) >= settings.MIN_KEYWORD_LENGTH) & t.rlike(r"^\p{L}+$")))
-    return F.transform(kept, F.lower)
+    return F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.lower)
 
 
 def _entity_words(mentions: Column) -> Column:
