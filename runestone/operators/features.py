@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from runestone import settings
 from runestone.functions.arrays import word_frequencies
 from runestone.functions.tokens import word_tokens
-from runestone.operators.scaling import join_dimension
+from runestone.operators.scaling import join_dimension, top_rows
 
 
 def _term_counts(df: DataFrame, text: str, key: str) -> DataFrame:
@@ -26,7 +26,7 @@ def tfidf_vocabulary(df: DataFrame, max_features: int = settings.MAX_FEATURES, t
     counts = _term_counts(df, text, key).groupBy("term").agg(
         F.sum("tf").alias("term_count"), F.count(F.lit(1)).alias("doc_count")
     )
-    kept = counts.orderBy(F.desc("term_count"), "term").limit(max_features)
+    kept = top_rows(counts, "term_count", "term", max_features)
     return kept.withColumn(
         "idf", F.log(F.lit(float(1 + n)) / (F.col("doc_count") + 1).cast("double")) + 1.0
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from runestone import settings
 from runestone.functions import text as tx
 from runestone.functions.arrays import word_frequencies
-from runestone.operators.scaling import join_dimension
+from runestone.operators.scaling import join_dimension, top_rows
 from runestone.session import settle
 
 LETTERS = r"[\p{L}\p{M}]+"
@@ -85,7 +85,8 @@ def fit_profiles(
         ).cast("long")
         for c in columns
     ]).alias("scores"))
-    common = words.orderBy(F.desc(sum(F.col(c) for c in columns)), "word").limit(common_words).select("word")
+    counted = words.select("word", sum(F.col(c) for c in columns).alias("n"))
+    common = top_rows(counted, "n", "word", common_words)
     spelled = common.select("word", F.explode(_grams(F.col("word"))).alias("gram"))
     scored = join_dimension(spelled, grams, ["gram"], "inner", salt_by="word", settled=True)
     ready = scored.groupBy("word").agg(

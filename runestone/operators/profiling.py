@@ -88,7 +88,7 @@ def _describe_columns() -> list:
     return [
         total.alias("count"),
         F.round(first / total, 6).alias("mean"),
-        F.round(F.sqrt(F.greatest(spread, F.lit(0.0))), 6).alias("std"),
+        F.when(total > 1, F.round(F.sqrt(F.greatest(spread, F.lit(0.0))), 6)).alias("std"),
         F.min("words").cast("long").alias("min"),
         *[F.round(quantiles[i], 6).alias(f"p{round(p * 100)}") for i, p in enumerate(PERCENTS)],
         F.max("words").cast("long").alias("max"),

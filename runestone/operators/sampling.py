@@ -12,13 +12,15 @@ from runestone import settings
 from runestone.operators.scaling import (
     PREFIX, below_cutoff, hash_cutoffs, join_dimension, sampling_digest,
 )
-from runestone.session import settle
 
 _CUT = ["_cut_digest", "_cut_key", "_size"]
 
 
 def _smallest_per_group(df: DataFrame, group: str, key: str, seed: int, n: int) -> DataFrame:
-    cuts = hash_cutoffs(df, group, key, seed, n)
+    return _chosen(df, hash_cutoffs(df, group, key, seed, n), group, key, seed)
+
+
+def _chosen(df: DataFrame, cuts: DataFrame, group: str, key: str, seed: int) -> DataFrame:
     joined = join_dimension(df, cuts, [group], "inner", salt_by=key)
     return joined.filter(below_cutoff(key, seed)).select(*df.columns)
 
@@ -81,9 +83,13 @@ def stratified_split(
 
 def eval_sample(df: DataFrame, n: int = settings.EVAL_SAMPLE, key: str = "doc_id",
                 seed: int = settings.SEED) -> DataFrame:
-    """``n`` random rows; each task keeps its own n smallest digests."""
-    ordered = df.withColumn("_digest", sampling_digest(key, seed)).orderBy("_digest", key)
-    return ordered.limit(n).drop("_digest")
+    """``n`` random rows.
+
+    The cut-off is found from digests alone. A sort with a limit would instead send
+    n whole documents of every input split to one task.
+    """
+    cuts = hash_cutoffs(df.select(F.lit(0).alias("_all"), key), "_all", key, seed, n)
+    return _chosen(df.withColumn("_all", F.lit(0)), cuts, "_all", key, seed).drop("_all")
 
 
 def assign_folds(

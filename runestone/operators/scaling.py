@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from runestone import settings
 from runestone.session import settle
 
+# A top-n may bring at most this many rows together in its last task.
+TOP_ROWS_DIRECT = 2_000_000
+
 # Digest prefixes that split a group for counting: 16 ** PREFIX buckets.
 PREFIX = 4
 
@@ -91,6 +94,22 @@ def prefix_sums(
     return joined.drop("_slice", *[f"_earlier_{name}" for name in amounts])
 
 
+def top_rows(rows: DataFrame, amount: str, tie: str, n: int, direct: int = TOP_ROWS_DIRECT) -> DataFrame:
+    """The ``n`` rows with the largest ``amount``, ties by ``tie``; ``rows`` is an aggregate.
+
+    A sort with a limit sends n rows of every task to one task. Where that could be
+    too many, the amounts are counted first and only rows that can be in the result
+    are sorted: those with fewer than n rows of a larger amount.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if tasks * n > direct:
+        rows = settle(rows)
+        sizes = rows.groupBy((-F.col(amount)).alias("_cost")).agg(F.count(F.lit(1)).alias("_n"))
+        reached = prefix_sums(sizes, [], ["_cost"], {"_larger": "_n"}).filter(F.col("_larger") < n)
+        rows = rows.filter(F.col(amount) >= -reached.agg(F.max("_cost")).scalar())
+    return rows.orderBy(F.desc(amount), tie).limit(n)
+
+
 def sampling_digest(key: str, seed: int) -> Column:
     """Seeded pseudo-random order of the rows; unique keys break equal digests."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runestone.functions.tokens import LETTER_RUN, word_tokens
+from runestone.operators.scaling import top_rows
+from runestone.session import settle
 
 CONTINUATION = "##"
 UNKNOWN = "[UNK]"
@@ -46,14 +48,10 @@ def learn_subwords(corpus: DataFrame, text: str = "text", size: int = VOCABULARY
                    max_piece: int = MAX_PIECE) -> DataFrame:
     """``(piece, n)``: every single character, and the ``size`` longer pieces that
     would save most tokens, n * (length - 1), ties by piece."""
-    counts = piece_counts(corpus, text, max_piece)
+    counts = settle(piece_counts(corpus, text, max_piece))
     letters = counts.filter(F.col("length") == 1).select("piece", "n")
-    longer = (
-        counts.filter(F.col("length") > 1)
-        .orderBy(F.desc(F.col("n") * (F.col("length") - 1)), "piece").limit(size)
-        .select("piece", "n")
-    )
-    return letters.unionByName(longer)
+    longer = counts.filter(F.col("length") > 1).withColumn("saved", F.col("n") * (F.col("length") - 1))
+    return letters.unionByName(top_rows(longer, "saved", "piece", size).select("piece", "n"))
 
 
 def subword_encoder(vocabulary: DataFrame, max_piece: int = MAX_PIECE):
