@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from runestone import settings
 from runestone.functions.arrays import majority_labels, most_common, word_frequencies
 from runestone.functions.text import strip_edges
+from runestone.functions.tokens import LETTER_RUN
 from runestone.operators.scaling import join_dimension
 
 # One alternative per kind of mention; the last one swallows ordinary words, so a
@@ -139,7 +140,8 @@ def candidate_words(text: Column) -> Column:
 
 
 def _entity_words(mentions: Column) -> Column:
-    return F.flatten(F.transform(mentions, lambda m: F.split(F.lower(m["text"]), " ")))
+    return F.flatten(F.transform(
+        mentions, lambda m: F.regexp_extract_all(F.lower(m["text"]), F.lit(LETTER_RUN), F.lit(0))))
 
 
 def keyword_frequencies(text: Column, mentions: Column, language: Column) -> Column:

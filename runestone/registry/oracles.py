@@ -401,7 +401,7 @@ ent0 AS (SELECT doc_id, text, arg_max(label, row(n, -first)) AS label, sum(n)::B
   FROM lab GROUP BY doc_id, text),
 ent AS (SELECT doc_id, text, label, {TAG_CASE} AS tag, mentions,
     row_number() OVER (PARTITION BY doc_id ORDER BY mentions DESC, first) - 1 AS rank FROM ent0),
-ew AS (SELECT DISTINCT doc_id, unnest(string_split(lower(text), ' ')) AS word FROM men),
+ew AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}]+')) AS word FROM men),
 cw AS (SELECT doc_id, language, unnest({alphabetic}) AS word, generate_subscripts({alphabetic}, 1) - 1 AS pos FROM src),
 kc AS (SELECT doc_id, word, count(*) AS n, min(pos) AS first FROM cw
   WHERE NOT ({stop}) AND NOT EXISTS (SELECT 1 FROM ew WHERE ew.doc_id = cw.doc_id AND ew.word = cw.word)
