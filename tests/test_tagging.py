@@ -58,8 +58,8 @@ def test_entity_tag(spark, label, tag):
 
 
 TEXT = (
-    "Nordea and the bank Nordea in Stockholm moved 12,5 % of savings on 2024-05-01 at 9:30 for € 300. "
-    "Write to info@nordea.com about savings and bank bank Savings fooBar Anna Maria Berg x2y"
+    "Acmebank and the bank Acmebank in Stockholm moved 12,5 % of savings on 2024-05-01 at 9:30 for € 300. "
+    "Write to info@acmebank.com about savings and bank bank Savings fooBar Anna Maria Berg x2y"
 )
 
 
@@ -67,7 +67,7 @@ TEXT = (
 def tagged(spark):
     df = spark.createDataFrame([(1, TEXT, "en"), (2, " ", "en"), (3, None, "sv"), (4, "och bilen bilen 2", "sv")],
                                "doc_id long, text string, language string")
-    gazetteer = spark.createDataFrame([("nordea", "ORG"), ("stockholm", "GPE")], "name string, label string")
+    gazetteer = spark.createDataFrame([("acmebank", "ORG"), ("stockholm", "GPE")], "name string, label string")
     return df, gazetteer
 
 
@@ -77,8 +77,8 @@ def test_mentions(tagged, in_row):
     rows = {r.doc_id: r.mentions for r in tagging.entity_mentions(df, gazetteer, in_row=in_row).collect()}
     got = sorted((m.pos, m.text, m.label) for m in rows[1])
     assert [g[1:] for g in got] == [
-        ("Nordea", "ORG"), ("Nordea", "ORG"), ("Stockholm", "GPE"), ("12,5 %", "PERCENT"), ("2024-05-01", "DATE"),
-        ("9:30", "TIME"), ("€ 300", "MONEY"), ("info@nordea.com", "EMAIL"), ("Anna Maria Berg", "MISC"),
+        ("Acmebank", "ORG"), ("Acmebank", "ORG"), ("Stockholm", "GPE"), ("12,5 %", "PERCENT"), ("2024-05-01", "DATE"),
+        ("9:30", "TIME"), ("€ 300", "MONEY"), ("info@acmebank.com", "EMAIL"), ("Anna Maria Berg", "MISC"),
     ]
     assert rows[2] == [] and rows[3] is None and [m.text for m in rows[4]] == ["2"]
 
@@ -87,7 +87,7 @@ def test_tag_documents(tagged):
     df, gazetteer = tagged
     rows = {r.doc_id: r for r in tagging.tag_documents(df, gazetteer).collect()}
     first = rows[1]
-    assert (first.entities[0].text, first.entities[0].tag, first.entities[0]["count"]) == ("Nordea", "organization", 2)
+    assert (first.entities[0].text, first.entities[0].tag, first.entities[0]["count"]) == ("Acmebank", "organization", 2)
     assert first.keywords == ["bank", "savings", "moved", "write", "foobar"]
     assert first.entity_tags == sorted({e.tag for e in first.entities})
     assert first.tags == sorted({*first.entity_tags, *first.keywords})
