@@ -167,7 +167,7 @@ def has_words(text: Column, n: int) -> Column:
     """``word_count(text) >= n``, false for NULL; reads only as far as the n-th word."""
     if n <= 0:
         return F.lit(True)
-    rest = f"(?:[{SPACE}]++{NOT_SPACE}++){{{n - 1}}}"
+    rest = f"(?:[{SPACE}]++{NOT_SPACE}++){{{n - 1}}}+"
     return F.coalesce(text.rlike(rf"(?U)\A[{SPACE}]*+{NOT_SPACE}++{rest}"), F.lit(False))
 
 

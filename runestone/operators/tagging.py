@@ -18,17 +18,19 @@ from runestone.functions.text import strip_edges
 from runestone.functions.tokens import LETTER_RUN
 from runestone.operators.scaling import join_dimension
 
+# Repeated groups are possessive: Java would otherwise recurse once per repetition,
+# and a long run of capitalised words would overflow the stack.
 # One alternative per kind of mention; the last one swallows ordinary words, so a
 # name is only found at the start of a word.
-NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
+NUMBER = r"[0-9]+(?:[.,][0-9]+)*+"
 MENTION = "|".join([
-    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
     r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
     r"[0-9]{1,2}:[0-9]{2}",
     rf"[$\x{{20ac}}\x{{a3}}] ?{NUMBER}",
     rf"{NUMBER} ?%",
     NUMBER,
-    r"\p{Lu}[\p{L}\p{M}]+(?: \p{Lu}[\p{L}\p{M}]+)*",
+    r"\p{Lu}[\p{L}\p{M}]+(?: \p{Lu}[\p{L}\p{M}]+)*+",
 ])
 # A whole word token that is all letters.
 CANDIDATE = (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.operators import compression as cx
+from runestone.operators.sampling import eval_sample, stratified_split
 from runestone.session import settle
 
 
@@ -62,3 +63,19 @@ def compression_report(
         parts.append(_metrics(measured, name))
     parts.append(_metrics(cx.prune_report(tables["pruned"], sparsity).select("achieved_sparsity"), "pruned"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def optimize(
+    examples: DataFrame,
+    eval_rows: int = settings.EVAL_SAMPLE,
+    key: str = "vec_id",
+    values: str = "embedding",
+    label: str = "label",
+    sparsity: float = settings.TARGET_SPARSITY,
+    timed: bool = False,
+) -> DataFrame:
+    """The whole job: split, learn the weights on train, sweep over sampled validation rows."""
+    split = settle(stratified_split(examples, label=label, key=key))
+    weights = cx.centroid_weights(split.filter(F.col("split") == "train"), values, label)
+    sample = settle(eval_sample(split.filter(F.col("split") == "val").drop("split"), eval_rows, key))
+    return compression_report(weights, sample, values, label, sparsity, timed)

@@ -575,15 +575,17 @@ SELECT variant, sum(len(embedding))::BIGINT AS params, round(sum(len(embedding))
 FROM embeddings CROSS JOIN (VALUES ('original', 4), ('pruned', 4), ('fp16', 2), ('int8', 1)) v(variant, bytes)
 GROUP BY variant, bytes"""
 HALF = half_sql("w")
-ORACLES["compression_report"] = f"""
-WITH {ENTRIES},
-c AS (SELECT label::VARCHAR AS tensor, idx, avg(w::DOUBLE)::FLOAT AS w FROM e GROUP BY label, idx),
+def sweep_sql(train: str, evaluated: str) -> str:
+    """Report of the sweep: weights are the label means of ``train`` vectors."""
+    return f"""WITH {ENTRIES},
+c AS (SELECT label::VARCHAR AS tensor, idx, avg(w::DOUBLE)::FLOAT AS w FROM e WHERE vec_id IN ({train}) GROUP BY label, idx),
 cr AS (SELECT *, row_number() OVER (PARTITION BY tensor ORDER BY abs(w), idx) AS rn FROM c),
 ct AS (SELECT tensor, abs(w) AS threshold FROM cr WHERE rn = 19),
 pr AS (SELECT tensor, idx, CASE WHEN abs(w) > threshold THEN w ELSE 0 END AS w FROM c JOIN ct USING (tensor)),
 fp AS (SELECT tensor, idx, {HALF}::FLOAT AS w FROM pr),
 m AS (SELECT 'original' AS variant, * FROM c UNION ALL SELECT 'pruned', * FROM pr UNION ALL SELECT 'fp16', * FROM fp),
-d AS (SELECT variant, vec_id, label, tensor, sum(m.w::DOUBLE * e.w::DOUBLE) AS dot FROM e JOIN m USING (idx) GROUP BY ALL),
+d AS (SELECT variant, vec_id, label, tensor, sum(m.w::DOUBLE * e.w::DOUBLE) AS dot FROM e JOIN m USING (idx)
+  WHERE vec_id IN ({evaluated}) GROUP BY ALL),
 b AS (SELECT variant, label::VARCHAR = tensor AS hit FROM d
   QUALIFY row_number() OVER (PARTITION BY variant, vec_id ORDER BY dot DESC, tensor) = 1),
 acc AS (SELECT variant, round(avg(hit::INT), 4) AS accuracy FROM b GROUP BY variant),
@@ -595,6 +597,15 @@ UNION ALL SELECT variant, 'size_reduction_pct', round(100.0::DOUBLE * (1.0::DOUB
 UNION ALL SELECT variant, 'accuracy', accuracy FROM acc
 UNION ALL SELECT variant, 'accuracy_drop', round((SELECT accuracy FROM acc WHERE variant = 'original') - accuracy, 4) FROM acc
 UNION ALL SELECT 'pruned', 'achieved_sparsity', round(count(*) FILTER (w = 0) / count(*)::DOUBLE, 4) FROM pr"""
+
+
+ALL_VECTORS = "SELECT vec_id FROM embeddings"
+VECTOR_SPLIT = split_sql("(SELECT vec_id AS doc_id, label FROM embeddings)", "label")
+ORACLES["compression_report"] = sweep_sql(ALL_VECTORS, ALL_VECTORS)
+ORACLES["optimize_weights"] = sweep_sql(
+    f"SELECT doc_id FROM {VECTOR_SPLIT} WHERE split = 'train'",
+    f"SELECT doc_id FROM {VECTOR_SPLIT} WHERE split = 'val' ORDER BY {digest('doc_id')}, doc_id LIMIT {settings.EVAL_SAMPLE}",
+)
 ORACLES["score_blank_status"] = f"""
 WITH d AS (SELECT doc_id, {DAMAGED} AS text, 'en' AS language FROM documents),
 raw AS (SELECT doc_id, text AS raw_text, {sanitize_sql('text')} AS text, lang AS language

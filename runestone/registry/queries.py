@@ -900,6 +900,11 @@ def compression_report(spark, sf):
     return compression_job.compression_report(compression.centroid_weights(rows), rows)
 
 
+@query
+def optimize_weights(spark, sf):
+    return compression_job.optimize(vectors(spark, sf))
+
+
 # --- streams -----------------------------------------------------------------
 
 STREAM_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,11 +89,12 @@ def write_report(report: DataFrame, path: str, mode: str = "errorifexists") -> N
 
 def read_report(spark: SparkSession, path: str) -> DataFrame | None:
     """Metrics read-back; None where none was written."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(hadoop_path):
-        return None
-    return spark.read.json(path)
+    try:
+        return spark.read.json(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def label_dimension(corpus: DataFrame) -> DataFrame:

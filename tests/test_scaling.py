@@ -133,8 +133,26 @@ def test_top_rows(skewed, direct, n):
     assert sorted((r.v, r.n) for r in got) == sorted(want)
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
+
+
 def test_settle_uses_the_session_folder(spark):
     folder = shared_dir(spark)
     assert fresh_dir(spark, "x").startswith(folder.rstrip("/"))
     df = settle(spark.range(5))
-    assert df.count() == 5 and "ExistingRDD" in df._jdf.queryExecution().toString()
+    assert df.count() == 5 and "Range (" not in df._jdf.queryExecution().toString()

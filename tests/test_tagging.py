@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.functions import arrays as ax
+from runestone.functions.text import sanitize
 from runestone.operators import tagging
 
 MENTIONS = "array<struct<text:string,label:string,pos:int>>"
@@ -139,3 +140,12 @@ def test_annotator_failures_are_data(spark):
     joined = tagging.tag_documents(df.join(found.drop("error"), "doc_id"))
     assert {r.doc_id: [(e.text, e["count"]) for e in r.entities] for r in joined.collect()} == {
         1: [("Acme", 2), ("Beta", 1)], 2: []}
+
+
+def test_long_runs_do_not_overflow_the_stack(spark):
+    texts = [" ".join(["Sich"] * 60_000), ".".join(["1"] * 60_000), "a." * 3_000 + "@", "x " * 60_000, "<" * 20_000]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, language string")
+    rows = {r.doc_id: r for r in tagging.tag_documents(sanitize(df), text="clean_text").collect()}
+    assert [(len(e.text), e.label) for e in rows[0].entities] == [(len(texts[0]), "MISC")]
+    assert [(len(e.text), e.label) for e in rows[1].entities] == [(len(texts[1]), "CARDINAL")]
+    assert rows[3].entities == [] and rows[4].keywords == []
