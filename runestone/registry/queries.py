@@ -911,7 +911,8 @@ STREAM_SCHEMA = "doc_id long, text string, lang string, source string, n_chars l
 
 
 def _score_stream(spark, sf):
-    arrived = live.document_stream(spark, sf, STREAM_SCHEMA, "documents.parquet")
+    # As a glob the path may be a table's folder or a single file.
+    arrived = live.document_stream(spark, f"{sf}/documents.parque[t]", STREAM_SCHEMA)
     rows = arrived.select("doc_id", "text", F.col("lang").alias("language"))
     return live.score_stream(
         rows, scoring.length_scorer(20), gazetteer=gazetteer(spark, sf), supported=LANGUAGES)

@@ -14,14 +14,10 @@ from runestone.plans.scoring import Scorer, score_batch
 
 
 def document_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, glob: str = "*.parquet", files_per_trigger: int = 1000
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int = 1000
 ) -> DataFrame:
-    """Documents from the Parquet files that arrive in a folder."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(path)
-    )
+    """Documents from the Parquet files that arrive in a folder; ``path`` may be a glob."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def score_stream(documents: DataFrame, scorer: Scorer, **options) -> DataFrame:
