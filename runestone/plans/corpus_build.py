@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,16 @@ from runestone.operators.sampling import demo_sample, stratified_sample
 from runestone.sources.tables import write_corpus
 
 
+def combine_sources(
+    sources: Mapping[str, DataFrame], text_col: str = "text", label_text_col: str = "label_text", key: str = "doc_id"
+) -> DataFrame:
+    """One raw table from a source per language; ``key`` must be unique over all of them."""
+    return union_corpora([
+        source.select(key, text_col, label_text_col, F.lit(language).alias("language"))
+        for language, source in sources.items()
+    ])
+
+
 def build_corpus(
     raw: DataFrame,
     languages: Sequence[str] = settings.SUPPORTED_LANGUAGES,

@@ -22,7 +22,7 @@ from runestone.functions import vectors as vx
 from runestone.operators import (
     cleaning, compression, evaluation, features, labels, language, profiling, sampling, subwords, tagging, training,
 )
-from runestone.plans import compression_job, corpus_build, scoring
+from runestone.plans import compression_job, corpus_build, scoring, training_job
 from runestone.session import fresh_dir, settle
 from runestone.sources import tables
 from runestone.streaming import live
@@ -159,7 +159,7 @@ def demo_sample(spark, sf):
 @query
 def example_predictions(spark, sf):
     split = sampling.stratified_split(predictions(spark, sf))
-    return training.example_predictions(split.filter(F.col("split") == "val"))
+    return training_job.example_predictions(split.filter(F.col("split") == "val"))
 
 
 @query
@@ -643,9 +643,9 @@ _FITTED: dict[tuple, object] = {}
 
 
 def _labelled_split(spark, sf):
-    rows = cleaning.clean_and_drop(documents(spark, sf).withColumn(
-        "label", (F.array_position(F.array(*[F.lit(x) for x in LANGUAGES]), F.col("language")) - 1).cast("int")))
-    return settle(sampling.stratified_split(rows))
+    names = F.array(*[F.lit(lang) for lang in LANGUAGES])
+    label = (F.array_position(names, F.col("language")) - 1).cast("int")
+    return settle(training_job.clean_split(documents(spark, sf).withColumn("label", label)))
 
 
 def _fitted(spark, sf, kind):
@@ -715,7 +715,7 @@ def model_roundtrip(spark, sf):
 
 @query
 def train_report(spark, sf):
-    parts = training.train_report(
+    parts = training_job.train_report(
         _fitted(spark, sf, "split"), fresh_dir(spark, "best"), challenger_candidates=[{"max_iter": 30}], max_iter=30)
     return parts["report"].select(
         "classification_accuracy", "f1_score_macro", "processing_speed_docs_per_sec",

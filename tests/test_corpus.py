@@ -112,6 +112,12 @@ def test_build_corpus(spark, corpus):
         corpus_build.build_corpus(missing)
 
 
+def test_one_source_per_language(corpus):
+    sources = {lang: corpus.filter(F.col("language") == lang).drop("language") for lang in ("en", "sv", "fi")}
+    built = corpus_build.build_corpus(corpus_build.combine_sources(sources))
+    assert sorted(built.collect()) == sorted(corpus_build.build_corpus(corpus).collect())
+
+
 def test_build_and_write(spark, corpus):
     path, sample = fresh_dir(spark, "corpus"), fresh_dir(spark, "sample")
     written = corpus_build.build_and_write(corpus, path, sample)

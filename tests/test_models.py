@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from runestone.functions import arrays as ax
 from runestone.functions import vectors as vx
 from runestone.operators import compression, evaluation, features, sampling, training
-from runestone.plans import compression_job, scoring
+from runestone.plans import compression_job, scoring, training_job
 from runestone.session import fresh_dir
 
 DOCS = [
@@ -134,7 +134,7 @@ def topics(spark):
 
 def test_train_report(spark, topics):
     path = fresh_dir(spark, "best")
-    parts = training.train_report(topics, path, challenger_candidates=[{"c": 0.01, "max_iter": 20}, {"max_iter": 20}], max_iter=30)
+    parts = training_job.train_report(topics, path, challenger_candidates=[{"c": 0.01, "max_iter": 20}, {"max_iter": 20}], max_iter=30)
     report = parts["report"].first()
     assert report.classification_accuracy > 0.85 and report.baseline_accuracy > 0.85 and report.f1_score_macro > 0.8
     assert report.languages_supported == ["en", "fi", "sv"] and set(report.per_language_accuracy) == {"en", "fi", "sv"}
@@ -144,11 +144,23 @@ def test_train_report(spark, topics):
     losses = [r.loss for r in parts["history"].orderBy("iteration").collect()]
     assert losses[-1] < losses[0]
     assert parts["examples"].columns == ["doc_id", "text", "label", "predicted_label", "language"] and parts["examples"].count() == 20
+    folder = fresh_dir(spark, "artifacts")
+    training_job.write_artifacts(parts, folder)
+    assert spark.read.json(f"{folder}/performance_metrics").first().baseline_accuracy == report.baseline_accuracy
+    assert spark.read.csv(f"{folder}/training_history", header=True).columns == ["iteration", "loss"]
     loaded = training.load_model(path)
     again = training.score(loaded, topics.filter("split = 'val'"), ["doc_id"])
     assert {(r.doc_id, r.pred) for r in again.collect()} == {(r.doc_id, r.pred) for r in parts["scored"].collect()}
 
 
+def test_clean_split(spark):
+    df = spark.createDataFrame([(i, f"<b>word {i}</b>" if i % 5 else "<i></i>", i % 2) for i in range(100)],
+                               "doc_id long, text string, label int").withColumn("language", F.lit("en"))
+    got = training_job.clean_split(df)
+    assert got.count() == 80 and got.filter("split = 'val'").count() == 16
+    assert got.filter("clean_text like '%<%'").count() == 0
+
+
 def test_features_of_the_pipeline_are_the_tfidf_table(topics):
     fitted = training.train_baseline(topics, max_features=12, max_iter=3)
     terms = fitted.model.stages[1].vocabulary
