@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runestone.functions.tokens import LETTER_RUN, word_tokens
+from runestone.functions.tokens import word_tokens
 from runestone.operators.scaling import top_rows
 from runestone.session import settle
 
@@ -21,10 +21,10 @@ MAX_VOCABULARY = 200_000
 
 
 def piece_counts(corpus: DataFrame, text: str = "text", max_piece: int = MAX_PIECE) -> DataFrame:
-    """``(piece, n, length)`` over all words. Words are counted first, so pieces are
+    """``(piece, n, length)`` over all tokens. Tokens are counted first, so pieces are
     cut once per distinct word; a piece inside a word carries the '##' prefix."""
     words = (
-        corpus.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(LETTER_RUN), F.lit(0))).alias("word"))
+        corpus.select(F.explode(word_tokens(F.col(text))).alias("word"))
         .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )
 

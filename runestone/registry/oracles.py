@@ -350,15 +350,41 @@ ORACLES["truncate_tokens"] = (
     f"SELECT doc_id, len({TOKENS}[1:{settings.MAX_TOKENS}]) AS n_tokens, "
     f"array_to_string({TOKENS}[1:{settings.MAX_TOKENS}], '|') AS tokens FROM documents"
 )
-ORACLES["subword_vocab"] = r"""
-WITH w AS (SELECT word, count(*) AS n FROM (
-    SELECT unnest(regexp_extract_all(text, '[\p{L}\p{M}\p{N}]+')) AS word FROM documents) GROUP BY word),
-p AS (SELECT n, k, unnest([CASE WHEN i = 1 THEN '' ELSE '##' END || substr(word, i, k)
-      for i in range(1, length(word) - k + 2)]) AS piece
+
+
+def pieces_sql(source: str) -> str:
+    """CTEs: tokens of ``source``, and the vocabulary learned from them."""
+    return rf"""
+tk AS (SELECT doc_id, unnest({TOKENS}) AS tok, generate_subscripts({TOKENS}, 1) AS i FROM {source}),
+w AS (SELECT tok, count(*) AS n FROM tk GROUP BY tok),
+p AS (SELECT n, k, unnest([CASE WHEN i = 1 THEN '' ELSE '##' END || substr(tok, i, k)
+      for i in range(1, length(tok) - k + 2)]) AS piece
   FROM w CROSS JOIN (SELECT unnest(range(1, 9)) AS k)),
-c AS (SELECT piece, k, sum(n)::BIGINT AS n FROM p GROUP BY piece, k)
-SELECT piece, n FROM c WHERE k = 1
-UNION ALL SELECT piece, n FROM (SELECT piece, n FROM c WHERE k > 1 ORDER BY n * (k - 1) DESC, piece LIMIT 8000)"""
+c AS (SELECT piece, k, sum(n)::BIGINT AS n FROM p GROUP BY piece, k),
+v AS (SELECT piece, k, n FROM c WHERE k = 1
+  UNION ALL SELECT * FROM (SELECT piece, k, n FROM c WHERE k > 1 ORDER BY n * (k - 1) DESC, piece LIMIT 8000))"""
+
+
+ORACLES["subword_vocab"] = f"WITH {pieces_sql('documents')} SELECT piece, n FROM v"
+GERMAN = "(SELECT * FROM documents WHERE lang = 'de')"
+# Every character of a token is in its vocabulary, so each step finds a piece.
+ENCODED = f"""{pieces_sql(GERMAN)},
+enc AS (
+  SELECT tok, 1 AS pos, '' AS pieces, 0 AS used FROM w
+  UNION ALL
+  SELECT tok, pos + k, concat(pieces, '|', piece), used + 1 FROM (
+    SELECT e.tok, e.pos, e.pieces, e.used, v.k, v.piece,
+      row_number() OVER (PARTITION BY e.tok ORDER BY v.k DESC) AS choice
+    FROM enc e CROSS JOIN (SELECT unnest(range(1, 9)) AS len) JOIN v
+      ON v.k = len AND v.piece = CASE WHEN e.pos = 1 THEN '' ELSE '##' END || substr(e.tok, e.pos, len)
+    WHERE e.pos + len - 1 <= length(e.tok)) WHERE choice = 1),
+sw AS (SELECT doc_id, sum(used)::BIGINT AS n_tokens, substr(string_agg(pieces, '' ORDER BY i), 2) AS tokens
+  FROM tk JOIN (SELECT tok, pieces, used FROM enc WHERE pos > length(tok)) USING (tok) GROUP BY doc_id)"""
+ORACLES["subword_tokens"] = f"WITH RECURSIVE {ENCODED} SELECT doc_id, n_tokens, tokens FROM sw"
+ORACLES["route_tokens"] = f"""
+WITH RECURSIVE {ENCODED}
+SELECT doc_id, 'de' AS language, n_tokens, tokens FROM sw
+UNION ALL SELECT doc_id, lang, len({TOKENS}), array_to_string({TOKENS}, '|') FROM documents WHERE lang <> 'de'"""
 
 # --- tags --------------------------------------------------------------------
 

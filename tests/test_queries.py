@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 # Timings and fits have no SQL twin; their operators are tested on fixtures.
 WITHOUT_SQL = {
-    "subword_tokens", "route_tokens", "baseline_train", "baseline_predict", "baseline_proba", "training_history",
+    "baseline_train", "baseline_predict", "baseline_proba", "training_history",
     "challenger_train", "select_model", "model_roundtrip", "train_report", "cross_validate", "benchmark",
 }
 
