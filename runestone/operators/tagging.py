@@ -238,20 +238,19 @@ def annotate(
     df: DataFrame,
     load: Callable[[], Callable[[str, str], Sequence[tuple[str, str]]]],
     text: str = "text",
-    key: str = "doc_id",
 ) -> DataFrame:
-    """Plug in an external annotator.
+    """Add ``mentions`` and ``error`` from an external annotator.
 
     ``load()`` is called once per task and returns ``annotator(text, language) ->
     [(surface, label), ...]``. A document whose annotator fails gets no mentions and
     the reason in ``error``; the job goes on.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         annotator = load()
-        for batch in batches:
+        for texts, languages in batches:
             mentions, errors = [], []
-            for document, language in zip(batch["text"], batch["language"]):
+            for document, language in zip(texts, languages):
                 try:
                     found = annotator(document, language)
                     mentions.append([
@@ -261,9 +260,10 @@ def annotate(
                 except Exception as problem:  # noqa: BLE001 - any plug-in failure is data
                     mentions.append([])
                     errors.append(f"{type(problem).__name__}: {problem}")
-            yield pd.DataFrame({key: batch[key], "mentions": mentions, "error": errors})
-
-    schema = f"{key} long, mentions array<struct<text:string,label:string,pos:int>>, error string"
-    return df.select(key, F.col(text).alias("text"), "language").mapInPandas(run, schema)
-
+            yield pd.DataFrame({"mentions": mentions, "error": pd.Series(errors, dtype="object")})
 
+    schema = "mentions array<struct<text:string,label:string,pos:int>>, error string"
+    udf = F.pandas_udf(run, schema).asNondeterministic()
+    return df.withColumn("_found", udf(F.col(text), F.col("language"))).withColumns(
+        {"mentions": F.col("_found.mentions"), "error": F.col("_found.error")}
+    ).drop("_found")

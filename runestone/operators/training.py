@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runestone import settings
@@ -181,25 +181,33 @@ def load_model(path: str, variant: str | None = None) -> PipelineModel:
     return PipelineModel.load(f"{path.rstrip('/')}/{variant}" if variant else path)
 
 
-def score_plugin(
-    df: DataFrame,
-    load: Callable[[], Callable[[list[str]], np.ndarray]],
-    text: str = "clean_text",
-    key: str = "doc_id",
-    batch: int = settings.SCORING_BATCH,
-) -> DataFrame:
-    """Plug in an external model: ``load()`` runs once per task and returns
-    ``predict(texts) -> (n, classes) probabilities``, called on ``batch`` texts at a time."""
+def plugin_probabilities(
+    load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = settings.SCORING_BATCH
+) -> Callable[[Column], Column]:
+    """An external model as a function on columns, ``string -> array<double>``.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ``load()`` runs once per task and returns ``predict(texts) -> (n, classes)``,
+    called on at most ``batch`` texts at a time. The result is a column of the same
+    row, so scoring needs no join.
+    """
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = load()
-        for frame in frames:
-            for start in range(0, len(frame), batch):
-                part = frame.iloc[start:start + batch]
-                matrix = np.asarray(predict(part["text"].fillna("").tolist()), dtype="float64")
-                yield pd.DataFrame({key: part[key].to_numpy(), "probability": list(matrix)})
+        for texts in batches:
+            rows: list[np.ndarray] = []
+            for start in range(0, len(texts), batch):
+                part = texts.iloc[start:start + batch].fillna("").tolist()
+                rows.extend(np.asarray(predict(part), dtype="float64"))
+            yield pd.Series(rows, index=texts.index, dtype="object")
+
+    # The mark keeps the optimizer from calling the model twice for one row.
+    udf = F.pandas_udf(run, "array<double>").asNondeterministic()
+    return lambda text: udf(text)
+
 
-    return df.select(key, F.col(text).alias("text")).mapInPandas(run, f"{key} long, probability array<double>")
+def score_plugin(df: DataFrame, load: Callable, text: str = "clean_text", batch: int = settings.SCORING_BATCH) -> DataFrame:
+    """Add ``probability`` from an external model."""
+    return df.withColumn("probability", plugin_probabilities(load, batch)(F.col(text)))
 
 
 def cross_validate(
@@ -214,7 +222,7 @@ def cross_validate(
     """Out-of-fold macro-F1 and accuracy: ``(fold, accuracy, f1_macro)``, stratified folds."""
     folds = settle(assign_folds(df, k, label, key).select(key, "fold"))
     # Both sides are keyed by the unique document id: no hot key.
-    folded = settle(df.select(key, label, text).join(folds, key))
+    folded = settle(df.select(key, label, text).join(folds.hint("shuffle_hash"), key))
     rows = []
     for fold in range(k):
         fitted = fit(folded.filter(F.col("fold") != fold), label=label, text=text, key=key, **options)

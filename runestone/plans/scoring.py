@@ -42,14 +42,11 @@ def pipeline_scorer(model) -> Scorer:
     return score
 
 
-def plugin_scorer(load, key: str = "doc_id") -> Scorer:
-    """An external model as a scorer; its matrix is joined back on the unique key."""
+def plugin_scorer(load, batch: int = settings.SCORING_BATCH) -> Scorer:
+    """An external model as a scorer."""
     from runestone.operators.training import score_plugin
 
-    def score(df: DataFrame) -> DataFrame:
-        return df.join(score_plugin(df, load, key=key), key, "left")
-
-    return score
+    return lambda df: score_plugin(df, load, batch=batch)
 
 
 def category_names(labels: DataFrame | None) -> Callable[[Column], Column]:
