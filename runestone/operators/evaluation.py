@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runestone.operators.scaling import prefix_sums
+from runestone.session import settle
 
 
 def confusion_matrix(scored: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
@@ -16,12 +17,20 @@ def confusion_matrix(scored: DataFrame, label: str = "label", pred: str = "pred"
 
 
 def accuracy(scored: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
-    return scored.agg(F.avg((F.col(label) == F.col(pred)).cast("int")).alias("accuracy"))
+    return _accuracy_of(confusion_matrix(scored, label, pred))
+
+
+def _accuracy_of(cells: DataFrame) -> DataFrame:
+    hits = F.coalesce(F.sum(F.when(F.col("label") == F.col("pred"), F.col("n"))), F.lit(0))
+    return cells.agg((hits / F.sum("n")).alias("accuracy"))
 
 
 def macro_f1(scored: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
     """Unweighted mean F1 over every class that occurs as a label or a prediction; 0 / 0 is 0."""
-    cells = confusion_matrix(scored, label, pred)
+    return _macro_f1_of(confusion_matrix(scored, label, pred))
+
+
+def _macro_f1_of(cells: DataFrame) -> DataFrame:
     # Each cell counts once for its label and once for its prediction.
     sides = F.array(
         F.struct(F.col("label").alias("class"), F.col("n").alias("actual"), F.lit(0).cast("long").alias("predicted"),
@@ -65,10 +74,16 @@ def auc_by_class(scored: DataFrame, label: str = "label", probabilities: str = "
     )
 
 
-def macro_auc(scored: DataFrame, label: str = "label", probabilities: str = "probability") -> DataFrame:
-    """Macro one-vs-rest AUC; NULL with two classes or when a class has no true label."""
+def macro_auc(scored: DataFrame, label: str = "label", probabilities: str = "probability",
+              per_class: DataFrame | None = None) -> DataFrame:
+    """Macro one-vs-rest AUC; NULL with two classes or when a class has no true label.
+
+    ``per_class`` may hand in the result of ``auc_by_class``.
+    """
     width = scored.agg(F.max(F.size(probabilities))).scalar()
-    return auc_by_class(scored, label, probabilities).agg(
+    if per_class is None:
+        per_class = auc_by_class(scored, label, probabilities)
+    return per_class.agg(
         F.avg("auc").alias("mean"), F.count(F.lit(1)).alias("defined")
     ).select(
         F.when((F.col("defined") == width) & (F.col("defined") > 2), F.col("mean")).alias("auc")
@@ -77,15 +92,13 @@ def macro_auc(scored: DataFrame, label: str = "label", probabilities: str = "pro
 
 def evaluate(scored: DataFrame, label: str = "label", pred: str = "pred",
              probabilities: str | None = None) -> DataFrame:
-    """One row: accuracy, f1_macro and, given probabilities, auc."""
-    spark = scored.sparkSession
-    columns = [
-        accuracy(scored, label, pred).scalar().alias("accuracy"),
-        macro_f1(scored, label, pred).scalar().alias("f1_macro"),
-    ]
+    """One row: accuracy, f1_macro and, given probabilities, auc. The first two come
+    from one count of the (label, pred) cells."""
+    cells = settle(confusion_matrix(scored, label, pred))
+    columns = [_accuracy_of(cells).scalar().alias("accuracy"), _macro_f1_of(cells).scalar().alias("f1_macro")]
     if probabilities:
         columns.append(macro_auc(scored, label, probabilities).scalar().alias("auc"))
-    return spark.range(1).select(*columns)
+    return scored.sparkSession.range(1).select(*columns)
 
 
 def lift_over_baseline(model: DataFrame, baseline: DataFrame) -> DataFrame:

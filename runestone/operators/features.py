@@ -9,6 +9,7 @@ from runestone import settings
 from runestone.functions.arrays import word_frequencies
 from runestone.functions.tokens import word_tokens
 from runestone.operators.scaling import join_dimension, top_rows
+from runestone.session import settle
 
 
 def _term_counts(df: DataFrame, text: str, key: str) -> DataFrame:
@@ -48,7 +49,7 @@ def tfidf_weights(df: DataFrame, vocabulary: DataFrame, text: str = "text", key:
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """``(label, n, weight)`` with balanced weights n / (k * n_c)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = settle(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).scalar()
     classes = counts.agg(F.count(F.lit(1))).scalar()
     return counts.select(label, "n", (total.cast("double") / (classes * F.col("n"))).alias("weight"))

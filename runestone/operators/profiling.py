@@ -47,11 +47,11 @@ def _content_key(text: str):
     return F.unhex(F.md5(tx.strip_edges(F.coalesce(F.col(text), F.lit("")))))
 
 
-def _duplicate_counts(df: DataFrame, by: list[str], text: str) -> DataFrame:
+def _duplicate_counts(df: DataFrame, text: str) -> DataFrame:
     # Copies are first counted per content, map-side too, so a text that makes up a
     # third of the corpus reaches the reducer as one row per task.
-    copies = df.groupBy(*by, _content_key(text).alias("_content")).agg(F.count(F.lit(1)).alias("_n"))
-    return copies.groupBy(*by).agg(
+    copies = df.groupBy(_content_key(text).alias("_content")).agg(F.count(F.lit(1)).alias("_n"))
+    return copies.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
         F.count(F.lit(1)).alias("distinct_texts"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
@@ -60,7 +60,7 @@ def _duplicate_counts(df: DataFrame, by: list[str], text: str) -> DataFrame:
 
 def duplicates(df: DataFrame, text: str = "text") -> DataFrame:
     """Exact copies of the stripped text."""
-    return _duplicate_counts(df, [], text).withColumn(
+    return _duplicate_counts(df, text).withColumn(
         "duplicate_percent",
         F.round(F.lit(100.0) * F.col("duplicates") / F.nullif(F.col("total"), F.lit(0)), 2),
     )
@@ -191,20 +191,27 @@ def profile_by_language(df: DataFrame, text: str = "text", min_words: int = 1) -
 
 
 def corpus_summary(df: DataFrame, text: str = "text", target: str = "label_text") -> DataFrame:
-    """One row per language: size, words, blanks, copies, classes, imbalance."""
-    total = F.sum("n")
-    lengths = length_counts(df, text, min_words=0).groupBy("language").agg(
+    """One row per language: size, words, blanks, copies, classes, imbalance.
+
+    The texts are read once: copies have the same words, so word statistics and
+    duplicates both come from the counts per content.
+    """
+    n, words, total = F.col("n"), F.col("words").cast("long"), F.sum("n")
+    copies = df.groupBy("language", _content_key(text).alias("_content")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.coalesce(tx.word_count(F.col(text)), F.lit(0))).alias("words")
+    )
+    texts = copies.groupBy("language").agg(
         total.alias("documents"),
-        F.percentile("words", F.lit(0.5), F.col("n")).alias("median_words"),
-        F.round(F.sum(F.col("words").cast("long") * F.col("n")) / total, 1).alias("mean_words"),
-        F.max("words").cast("long").alias("max_words"),
-        F.coalesce(F.sum(F.when(F.col("words") == 0, F.col("n"))), F.lit(0)).alias("empty"),
+        F.percentile("words", F.lit(0.5), n).alias("median_words"),
+        F.round(F.sum(words * n) / total, 1).alias("mean_words"),
+        F.max(words).alias("max_words"),
+        F.coalesce(F.sum(F.when(words == 0, n)), F.lit(0)).alias("empty"),
+        F.sum(n - 1).alias("duplicates"),
     )
-    copies = _duplicate_counts(df, ["language"], text).select("language", "duplicates")
     classes = (
         df.groupBy("language", target).agg(F.count(F.lit(1)).alias("n"))
         .groupBy("language").agg(
             F.count(target).alias("classes"), F.round(F.max("n") / F.min("n"), 1).alias("imbalance")
         )
     )
-    return lengths.join(copies, "language").join(classes, "language")
+    return texts.join(classes, "language")

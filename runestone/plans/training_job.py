@@ -61,16 +61,17 @@ def train_report(
     started = time.time()
     scored = settle(training.score(chosen, validation, [key, "text", label, "language"]))
     seconds = max(1e-9, time.time() - started)
+    chosen_metrics, base_metrics = evaluation.evaluate(scored, label), evaluation.evaluate(base, label)
     languages = evaluation.per_language_accuracy(scored, label)
     report = spark.range(1).select(
-        F.round(evaluation.accuracy(scored, label).scalar(), 4).alias("classification_accuracy"),
-        F.round(evaluation.macro_f1(scored, label).scalar(), 4).alias("f1_score_macro"),
+        F.round(chosen_metrics.select("accuracy").scalar(), 4).alias("classification_accuracy"),
+        F.round(chosen_metrics.select("f1_macro").scalar(), 4).alias("f1_score_macro"),
         F.round(F.lit(scored.count() / seconds), 1).alias("processing_speed_docs_per_sec"),
         languages.agg(F.array_sort(F.collect_set("language"))).scalar().alias("languages_supported"),
         languages.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("language", "accuracy")))))
         .scalar().alias("per_language_accuracy"),
-        F.round(evaluation.accuracy(base, label).scalar(), 4).alias("baseline_accuracy"),
-        F.round(evaluation.macro_f1(base, label).scalar(), 4).alias("baseline_f1_macro"),
+        F.round(base_metrics.select("accuracy").scalar(), 4).alias("baseline_accuracy"),
+        F.round(base_metrics.select("f1_macro").scalar(), 4).alias("baseline_f1_macro"),
     )
     return {
         "report": report,

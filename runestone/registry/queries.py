@@ -769,9 +769,9 @@ def confusion_matrix(spark, sf):
 @query
 def eval_auc(spark, sf):
     scored = probabilities(spark, sf)
-    per_class = evaluation.auc_by_class(scored).select(F.col("class").cast("string").alias("class"), "auc")
-    macro = evaluation.macro_auc(scored).select(F.lit("macro").alias("class"), "auc")
-    return per_class.unionByName(macro).withColumn("auc", F.round("auc", 6))
+    per_class = settle(evaluation.auc_by_class(scored))
+    macro = evaluation.macro_auc(scored, per_class=per_class).select(F.lit("macro").alias("class"), "auc")
+    return per_class.withColumn("class", F.col("class").cast("string")).unionByName(macro).withColumn("auc", F.round("auc", 6))
 
 
 @query
