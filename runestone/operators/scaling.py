@@ -25,21 +25,26 @@ def join_dimension(
     salt_by: str | None = None,
     settled: bool = False,
     max_rows: int = settings.BROADCAST_MAX_ROWS,
+    max_bytes: int = settings.BROADCAST_MAX_BYTES,
     salts: int = settings.JOIN_SALTS,
 ) -> DataFrame:
     """Join a lookup table to ``rows`` without ever shuffling a hot key to one task.
 
-    The dimension is materialised and counted. Up to ``max_rows`` it is broadcast
-    and ``rows`` stay where they are. Beyond that both sides are shuffled on
-    (key, salt): the dimension is repeated once per salt and the rows take their
-    salt from the hash of ``salt_by``, so a hot key spreads over ``salts`` tasks.
+    The dimension is materialised and measured. Up to ``max_rows`` rows and
+    ``max_bytes`` bytes (as text) it is broadcast and ``rows`` stay where they are.
+    Beyond that both sides are shuffled on (key, salt): the dimension is repeated
+    once per salt and the rows take their salt from the hash of ``salt_by``, so a
+    hot key spreads over ``salts`` tasks.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"join_dimension cannot do a {how} join")
     on = list(on)
     if not settled:
         dimension = settle(dimension)
-    if dimension.count() <= max_rows:
+    size = dimension.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")
+    ).first()
+    if size.rows <= max_rows and (size.bytes or 0) <= max_bytes:
         return rows.join(F.broadcast(dimension), on, how)
     # The salt must not change when a task is run again, so it is a hash of data.
     salt_source = [salt_by] if salt_by else [c for c in rows.columns if c not in on] or on

@@ -78,9 +78,10 @@ PRUNE_MIN_RANK = 2
 EVAL_SAMPLE = 400
 
 # --- physical bounds ---------------------------------------------------------
-# A dimension side is broadcast only after its rows were counted and found to be
-# at most this many; beyond it the join is salted and shuffled.
+# A dimension side is broadcast only after it was measured and found to be within
+# both bounds; beyond them the join is salted and shuffled.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Copies of each dimension row in a salted join.
 JOIN_SALTS = 16
 # A gazetteer of at most this many names is looked up inside the row.

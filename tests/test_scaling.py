@@ -30,8 +30,15 @@ def test_join_dimension(spark, skewed, how, max_rows):
     want = skewed.join(dim, ["label"], how)
     assert got.columns == want.columns
     assert Counter(got.collect()) == Counter(want.collect())
-    broadcast = "BroadcastHashJoin" in got._jdf.queryExecution().toString()
-    assert broadcast == (max_rows > 0) or max_rows == 0
+    hinted = "strategy=broadcast" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert hinted == (max_rows > 0)
+
+
+def test_a_dimension_with_few_but_wide_rows_is_not_broadcast(spark, skewed):
+    dim = spark.createDataFrame([("hot", "x" * 2000), ("g8", "y")], "label string, x string")
+    got = scaling.join_dimension(skewed, dim, ["label"], "left", salt_by="doc_id", max_bytes=1000)
+    assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter(got.collect()) == Counter(skewed.join(dim, ["label"], "left").collect())
 
 
 def test_join_dimension_rejects_other_joins(spark, skewed):
