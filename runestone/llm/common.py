@@ -54,3 +54,11 @@ def text_key(text: Column) -> Column:
 
 def id_or_lowest(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NO_ID))
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """An integer column ``n_chars`` follows the text."""
+    kind = dict(docs.dtypes).get("n_chars")
+    if kind not in ("int", "bigint"):
+        return docs
+    return docs.withColumn("n_chars", F.char_length("text").cast(kind))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runestone.llm.common import column_of, map_batches
+from runestone.llm.common import column_of, map_batches, with_length
 
 MIN_WORDS = 50
 # Rejected above these shares of words, in percent.
@@ -153,8 +153,4 @@ def clean(docs: DataFrame) -> DataFrame:
 
     An integer column ``n_chars`` follows the new text.
     """
-    out = docs.mapInArrow(_cleaned, docs.schema)
-    kinds = dict(docs.dtypes)
-    if kinds.get("n_chars") in ("int", "bigint"):
-        out = out.withColumn("n_chars", F.char_length("text").cast(kinds["n_chars"]))
-    return out
+    return with_length(docs.mapInArrow(_cleaned, docs.schema))

@@ -40,6 +40,25 @@ SELECT *, base_failed = false AND 100 * n_lost_words <= 50 * n_words AS kept
 FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures)
 """
 
+LINE_BITMAPS = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, coalesce(doc_id, -9223372036854775808) AS doc, doc_id, string_split(coalesce(text, ''), E'\n') AS lines FROM documents
+), lines AS (
+  SELECT row_id, doc, unnest(lines) AS line, generate_subscripts(lines, 1) AS n FROM docs
+), keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), frequent AS (
+  SELECT key, max(doc) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc) >= 5
+), judged AS (
+  SELECT row_id, n, line, doc < keeper AS gone FROM keyed LEFT JOIN frequent USING (key)
+), kept AS (
+  SELECT row_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+    coalesce(string_agg(line, E'\n' ORDER BY n) FILTER (NOT coalesce(gone, false)), '') AS text FROM judged GROUP BY 1
+)
+SELECT doc_id, n_lines, n_dropped, sha256(kept.text) AS kept_sha256 FROM docs JOIN kept USING (row_id)
+"""
+
 SOURCE_MIX = r"""
 WITH sized AS (
   SELECT doc_id, source, len(""" + WORDS.format("text") + r""")::BIGINT AS size, md5(concat_ws(':', 'mix', doc_id::VARCHAR)) AS digest FROM documents
@@ -72,7 +91,46 @@ SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copi
 FROM taken
 """
 
+NEAR_DEDUP = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+    """ + WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + r""" AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT row_id, unnest(CASE WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM docs WHERE len(w) > 0
+), sizes AS (SELECT row_id, count(*) AS n FROM shingles GROUP BY 1
+), pairs AS (
+  SELECT a.row_id AS x, b.row_id AS y, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s AND a.row_id <> b.row_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.row_id = x JOIN sizes q ON q.row_id = y
+  WHERE 100 * common >= 80 * (p.n + q.n - common)
+), reach(x, y) AS (
+  SELECT row_id, row_id FROM docs UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), smallest AS (SELECT x AS row_id, min(doc_id) AS component_id FROM reach JOIN docs ON docs.row_id = reach.y GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs LEFT JOIN sizes USING (row_id) JOIN smallest USING (row_id)
+"""
+
+WINDOW_DEDUP = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, """ + WORDS.format("text") + r""" AS w FROM documents
+), starts AS (
+  SELECT row_id, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35
+), windows AS (SELECT row_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS win FROM starts
+), again AS (SELECT row_id, i FROM (SELECT row_id, i, count(*) OVER (PARTITION BY win) AS n FROM windows) WHERE n > 1
+), gone AS (SELECT DISTINCT row_id, i + k AS i FROM again, range(35) AS r(k)
+), words AS (SELECT row_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs
+), kept AS (
+  SELECT row_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (row_id, i) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row_id)
+"""
+
 ORACLES = {
     "op1_quality_rules": QUALITY_RULES,
+    "op6_line_bitmaps": LINE_BITMAPS,
     "op8_source_mix": SOURCE_MIX,
+    "op9_minhash_near_dedup": NEAR_DEDUP,
+    "op10_window_dedup": WINDOW_DEDUP,
 }
