@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from runestone.llm import curriculum, line_quality
+from runestone.llm import curriculum, line_dedup, line_quality, near_dedup, packing
+from runestone.llm.queries import tokenizer_path
 from runestone.session import settle
 
 
@@ -20,14 +22,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_quality.clean(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that a later document repeats."""
+    return line_dedup.dedup_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 80 % of its five-word shingles."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every copy that the mix takes, in training order."""
     return curriculum.training_order(curriculum.mix(docs)).select(*docs.columns)
 
 
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids with their place in a sequence; a document taken twice is packed twice."""
+    pieces = packing.tokenize(docs, tokenizer_path())
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality", quality),
-    ("mixture", mixture),
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("near_dedup", near_duplicates),
+    ("source_mix", mixture),
+    ("packing", sequences),
 ]
 
 # SQL cannot tokenize; tests/llm compares every stage with a brute-force version.

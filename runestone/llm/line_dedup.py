@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runestone.llm.common import column_of, free_name, id_or_lowest, map_batches, text_key
+from runestone.llm.common import column_of, free_name, id_or_lowest, map_batches, text_key, with_length
 from runestone.session import settle
 
 MIN_CHARS = 40
@@ -209,19 +209,19 @@ def line_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     return dropped.groupBy("doc", "row").agg(F.collect_list("positions").alias("positions")).mapInArrow(_bitmaps, BITMAPS)
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with the text of the kept lines, ``n_lines`` (before) and ``n_dropped``.
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
+    """``docs`` with the text of the kept lines, and columns for their number before and those dropped.
 
     Columns of these two names are replaced. Bitmaps move to the texts in one shuffle on the document.
     """
-    docs = docs.drop("n_lines", "n_dropped")
+    docs = docs.drop(n_lines, n_dropped)
     columns = docs.columns
     doc, row, keep = (free_name(docs, x) for x in ("_doc", "_row", "_keep"))
     text = F.col("text").cast("string")
     keyed = docs.withColumns({doc: id_or_lowest(F.col("doc_id")), row: F.coalesce(text_key(text), F.lit(0))})
     named = bitmaps.select(F.col("doc").alias(doc), F.col("row").alias(row), F.col("keep").alias(keep)).dropDuplicates([doc, row])
     joined = keyed.join(named.hint("shuffle_hash"), [doc, row], "left").select(*columns, keep)
-    schema = joined.select(*columns).schema.add("n_lines", "long").add("n_dropped", "long")
+    schema = joined.select(*columns).schema.add(n_lines, "long").add(n_dropped, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,3 +245,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``docs`` with the lines that stay and all their columns; ``n_chars`` follows the text."""
+    counts = [free_name(docs, x) for x in ("n_lines", "n_dropped")]
+    return with_length(apply_bitmaps(docs, line_bitmaps(docs, min_chars, min_docs), *counts).select(*docs.columns))

@@ -8,8 +8,9 @@ grouped or written differently, two values never share one, and nothing but the
 key is needed to compute them: no table of values, no shuffle. ``restore`` is the inverse.
 
 Kinds: e-mail addresses (the local part), IPv4 addresses, calendar dates, telephone
-numbers, payment cards (stay Luhn-valid), social security numbers (stay valid),
-IBANs (stay mod-97-valid), and access tokens after ``token =`` and the like.
+numbers, payment cards (stay Luhn-valid, with their first digit), social security numbers (stay valid),
+IBANs (stay mod-97-valid), and access tokens
+after ``token =`` and the like (hexadecimal ones stay so) or with the prefix AKIA.
 
 Defined results: null stays null, empty stays empty. Digits that pass no check stay as
 they are. Repeated rows get equal texts. An empty table gives an empty table. All other columns are kept;
@@ -40,15 +41,21 @@ _NUMBERS = (
     rb"|(?<![A-Za-z0-9./-])(?P<iso>[0-9]{4}-[0-9]{2}-[0-9]{2})(?![-/.]?[0-9A-Za-z])"
     rb"|(?<![A-Za-z0-9./-])(?P<day>[0-9]{1,2}(?P<sep>[./])[0-9]{1,2}(?P=sep)[0-9]{4})(?![-/.]?[0-9A-Za-z])"
     rb"|(?<![A-Za-z0-9])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![-]?[0-9A-Za-z])"
-    rb"|(?<![A-Za-z0-9+])(?P<phone>\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4}|(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])"
+    rb"|(?<![A-Za-z0-9+])(?P<phone>(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|(?:\+1[ .-]?)?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+    rb"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4})(?![0-9A-Za-z])"
     rb"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
-    rb"|(?<![A-Za-z0-9])(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![0-9A-Za-z])"
+    # In one piece, or in the groups that are printed on cards: never with the number after it.
+    rb"|(?<![A-Za-z0-9])(?P<card>[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}"
+    rb"|[0-9]{4}(?P<gap2>[ -])[0-9]{6}(?P=gap2)[0-9]{5})(?![0-9A-Za-z])"
 )
 _SECRET = (
     rb"(?i:(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?[ ]*[=:][ ]*[\"']?)"
-    rb"(?P<secret>[A-Za-z0-9+/_-]{16,})"
+    rb"(?P<secret>[A-Za-z0-9+/_-]{8,})|(?<![A-Za-z0-9])AKIA(?P<key>[0-9A-Z]{16})(?![0-9A-Za-z])"
 )
 _EMAILS, _DIGITS, _SECRETS = re.compile(_EMAIL), re.compile(_NUMBERS), re.compile(_SECRET)
+# The separators inside a value are groups of their patterns too.
+KINDS_OF_GROUPS = {"sep": "day", "gap": "card", "gap2": "card", "key": "secret"}
+_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _ANY_DIGIT = re.compile(rb"[0-9]{2}")
 
 
@@ -142,7 +149,13 @@ class Pseudonyms:
         return self._mixed("email", x) if any(c.isascii() and c.isalnum() for c in x) else None
 
     def secret(self, x: str) -> str | None:
-        return self._mixed("secret", x) if any(c.isdigit() for c in x) else None
+        """Hexadecimal tokens stay hexadecimal; a plain word is no token."""
+        if not any(c.isdigit() for c in x):
+            return None
+        if not _HEX.fullmatch(x):
+            return self._mixed("secret", x)
+        new = self.feistel.permute(f"hex{len(x)}", int(x, 16), 16 ** len(x), back=self.back)
+        return f"{new:0{len(x)}{'X' if any(c.isupper() for c in x) else 'x'}}"
 
     def ip(self, x: str) -> str | None:
         octets = [int(o) for o in x.split(".")]
@@ -201,7 +214,7 @@ class Pseudonyms:
         digits = "".join(filter(str.isdigit, x))
         if len(set(digits)) < 2 or str(luhn(digits[:-1])) != digits[-1]:
             return None
-        new = self._number("card", digits[:-1])
+        new = digits[0] + self._number("card", digits[1:-1])
         return _refill(x, new + str(luhn(new)))
 
     def _one(self, kind: str, value: bytes) -> bytes | None:
@@ -214,18 +227,19 @@ class Pseudonyms:
 
         def put(match: re.Match) -> bytes:
             nonlocal count
-            kind = match.lastgroup if match.lastgroup != "sep" else "day"
-            value = match[kind]
+            kind = KINDS_OF_GROUPS.get(match.lastgroup, match.lastgroup)
+            kept = "key" if match.lastgroup == "key" else kind
+            value = match[kept]
             new = self._one(kind, value)
             if new is None:
                 return match[0]
             count += 1
-            start = match.start(kind) - match.start()
+            start = match.start(kept) - match.start()
             return match[0][:start] + new + match[0][start + len(value):]
 
         # Longer contexts first, so that no part of a token or address is taken for a number.
         spans = []
-        if b"=" in text or b":" in text:
+        if b"=" in text or b":" in text or b"AKIA" in text:
             spans += [m for m in _SECRETS.finditer(text)]
         if b"@" in text:
             spans += [m for m in _EMAILS.finditer(text)]
