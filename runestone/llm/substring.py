@@ -94,7 +94,7 @@ def window_hashes(numbers: np.ndarray, window: int, base: np.uint64) -> np.ndarr
             done += size
         if 2 * size <= window:
             part = part[:-size] * power + part[size:]
-        size, power = 2 * size, power * power
+        size, power = 2 * size, np.uint64(int(power) ** 2 & 0xFFFFFFFFFFFFFFFF)
     return _mixed(total)
 
 
