@@ -71,7 +71,9 @@ class WordEncoder:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         new = []
-        for word in words - self.known.keys():
+        for word in words:
+            if word in self.known:
+                continue
             if word in self.older:
                 self.known[word] = self.older[word]
             else:

@@ -62,7 +62,8 @@ class WordHashes:
     def of(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        for word in set(words) - self.known.keys():
+        # Asked word by word: a difference of sets would walk through all known words.
+        for word in [w for w in set(words) if w not in self.known]:
             number = self.older.get(word)
             self.known[word] = xxhash.xxh3_64_intdigest(word) if number is None else number
         return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
