@@ -10,7 +10,8 @@ however hot it is. The block's hashes are dealt into ranges; a row holds all has
 of one block and range, 7 bytes each, with the gaps of their places (about one
 byte each), instead of one row of 40 bytes per window. Each range fits in the
 memory of a task, as the number of ranges follows the size of the corpus; it finds
-the hashes that came from two or more blocks and names their documents and places.
+the hashes that came from two or more blocks, and answers each block with one row of
+places. The answers to a block meet, and become a row per document.
 
 Two windows count as equal when 56 bits of one hash and the range, taken from
 another hash, agree: with N windows in ranges of R, about N * R / 2^57 pairs are
@@ -28,7 +29,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +47,8 @@ REMEMBERED = 400_000
 # Fixed odd multipliers of the two rolling hashes.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
-DEALT = "range int, hashes binary, gaps binary, docs binary, doc long, row long, places binary"
+DEALT = "range int, block long, hashes binary, gaps binary, docs binary"
+ANSWERS = "block long, gaps binary, docs binary"
 FOUND = "doc long, row long, places binary"
 INTERVALS = "doc long, row long, starts array<int>, ends array<int>"
 
@@ -148,28 +149,26 @@ class _Block:
         new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (second[order][1:] != second[order][:-1])])
         alone = new & np.concatenate([new[1:], [True]])
         again = np.sort(at[order[~alone]])
-        owners = np.searchsorted(starts, again, "right") - 1
-        for owner in np.unique(owners).tolist():
-            places = again[owners == owner] if len(owners) < 1000 else again[slice(*np.searchsorted(owners, [owner, owner + 1]))]
-            yield self.ranges_of(owner), None, None, None, self.docs[owner], self.rows[owner], (places - starts[owner]).astype("<u4").tobytes()
+        ids = np.array([self.docs, self.rows], "<i8")
+        # Every row carries the documents it speaks of, so the number only brings rows together.
+        block = np.frombuffer(xxhash.xxh3_64_digest(ids.tobytes()), "<i8")[0].item()
+
+        def table(places: np.ndarray) -> bytes:
+            held = np.unique(np.searchsorted(starts, places, "right") - 1)
+            return np.concatenate([ids[:, held], starts[held].astype("<i8")[None]]).tobytes()
+
+        if len(again):  # known here already, it only passes through a range
+            yield block % self.ranges, block, None, _starts(again), table(again)
         # One window of each hash goes on, in the order of the documents.
         chosen = np.sort(order[new])
         target = ((first[chosen] >> np.uint64(32)) * np.uint64(self.ranges) >> np.uint64(32)).astype(np.int64)
         by_range = np.argsort(target, kind="stable")
         edges = np.searchsorted(target[by_range], np.arange(self.ranges + 1))
         keys = second[chosen].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
-        ids = np.array([self.docs, self.rows], "<i8")
         for n in np.flatnonzero(np.diff(edges)).tolist():
             own = by_range[edges[n]:edges[n + 1]]
             places = at[chosen[own]]
-            owner = np.searchsorted(starts, places, "right") - 1
-            held = np.unique(owner)
-            table = np.concatenate([ids[:, held], starts[held].astype("<i8")[None]])
-            yield n, np.ascontiguousarray(keys[own]).tobytes(), _starts(places), table.tobytes(), None, None, None
-
-    def ranges_of(self, owner: int) -> int:
-        """Any range; what is known already only passes through it."""
-        return (self.rows[owner] ^ self.docs[owner]) % self.ranges
+            yield n, block, np.ascontiguousarray(keys[own]).tobytes(), _starts(places), table(places)
 
 
 def _deal(window: int, ranges: int):
@@ -188,27 +187,36 @@ def _deal(window: int, ranges: int):
 
 
 def _dealt_batch(rows: Iterator[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in DEALT.split(", ")]
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
+def _answers(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.binary(), pa.binary()], strict=True)], ["block", "gaps", "docs"]
+    )
+
+
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range: hashes that came from more than one block."""
-    keys, places, tables = [], [], []
+    """One range: hashes that came from more than one block, as one row of places for each block."""
+    keys, places, blocks = [], [], []
     for batch in batches:
-        known = batch.filter(pa.compute.is_null(batch.column(1)))
-        if known.num_rows:
-            yield pa.RecordBatch.from_arrays([known.column(i) for i in (4, 5, 6)], ["doc", "row", "places"])
-        for hashes, gaps, table in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-            if hashes is not None:
-                seven = np.frombuffer(hashes, np.uint8).reshape(-1, 7)
-                eight = np.zeros((len(seven), 8), np.uint8)
-                eight[:, :7] = seven
-                keys.append(eight.view("<u8").ravel())
-                places.append(_places(gaps).astype(np.uint32))
-                tables.append(np.frombuffer(table, "<i8").reshape(3, -1))
+        known = []
+        for block, hashes, gaps, table in zip(*(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
+            if hashes is None:
+                known.append((block, gaps, table))
+                continue
+            seven = np.frombuffer(hashes, np.uint8).reshape(-1, 7)
+            eight = np.zeros((len(seven), 8), np.uint8)
+            eight[:, :7] = seven
+            keys.append(eight.view("<u8").ravel())
+            places.append(_places(gaps).astype(np.uint32))
+            blocks.append((block, table))
+        if known:
+            yield _answers(known)
     if not keys:
         return
     ends = np.cumsum([len(k) for k in keys])
@@ -220,24 +228,36 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     again = np.sort(order[np.concatenate([[False], same]) | np.concatenate([same, [False]])])
     del merged, order
     edges = np.searchsorted(again, np.concatenate([[0], ends]))
-    docs, rows, found = [], [], []
-    for n, table in enumerate(tables):
+    out, size = [], 0
+    for n, (block, table) in enumerate(blocks):
         own = again[edges[n]:edges[n + 1]] - (ends[n - 1] if n else 0)
-        if not len(own):
-            continue
-        at = places[n][own].astype(np.int64)
-        owner = np.searchsorted(table[2], at, "right") - 1
-        cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(at)], strict=True):
-            docs.append(int(table[0][owner[s]]))
-            rows.append(int(table[1][owner[s]]))
-            found.append((at[s:e] - table[2][owner[s]]).astype("<u4").tobytes())
-    for i in range(0, len(docs), 20_000):
-        part = slice(i, i + 20_000)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(docs[part], pa.int64()), pa.array(rows[part], pa.int64()), pa.array(found[part], pa.binary())],
-            ["doc", "row", "places"],
-        )
+        if len(own):
+            out.append((block, _starts(places[n][own].astype(np.int64)), table))
+            size += len(out[-1][1]) + len(table)
+        if size > 8 << 20:
+            yield _answers(out)
+            out, size = [], 0
+    if out:
+        yield _answers(out)
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The answers to one block, as a row for each document with places."""
+    for batch in batches:
+        for answers in batch.column(1).to_pylist():
+            found: dict[tuple[int, int], list[np.ndarray]] = {}
+            for answer in answers:
+                at, table = _places(answer["gaps"]), np.frombuffer(answer["docs"], "<i8").reshape(3, -1)
+                owner = np.searchsorted(table[2], at, "right") - 1
+                cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]).tolist()
+                for s, e in zip(cut, [*cut[1:], len(at)], strict=True):
+                    doc, row, start = (int(x) for x in table[:, owner[s]])
+                    found.setdefault((doc, row), []).append(at[s:e] - start)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d for d, _ in found], pa.int64()), pa.array([r for _, r in found], pa.int64()),
+                 pa.array([np.unique(np.concatenate(p)).astype("<u4").tobytes() for p in found.values()], pa.binary())],
+                ["doc", "row", "places"],
+            )
 
 
 def merged(places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -256,7 +276,9 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, range_windows: int
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     ranges = max(1, -(-size // (WORD_BYTES * range_windows)))
     dealt = map_batches(docs, keyed, DEALT, _deal(window, ranges))
-    found = dealt.repartitionById(ranges, "range").mapInArrow(_find, FOUND)
+    answers = dealt.repartitionById(ranges, "range").mapInArrow(_find, ANSWERS)
+    met = answers.groupBy("block").agg(F.collect_list(F.struct("gaps", "docs")).alias("answers"))
+    found = met.mapInArrow(_by_document, FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
