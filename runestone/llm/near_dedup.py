@@ -9,13 +9,15 @@
    candidate edges, not all pairs.
 4. Candidates are confirmed on the full sets, and components found. A star can
    miss a link between two classes that are both unlike its centre, so buckets
-   that still hold more than one component get another star around another
-   centre; what is left after that is compared across components of a bucket,
-   each class of the smaller components with the others. So every pair of a bucket
+   that still hold more than one component get more stars, around other
+   centres; what is left after that is compared across components of a bucket,
+   each class of the smaller components with the others. So every pair with two common buckets
    is either in one component or has been compared, with no cap on anything.
 
 With 32 bands of 5 bins a pair at a similarity of 0.8 shares no bucket with a
-probability of 0.0000031, at 0.85 of 0.00000002.
+probability of 0.0000031, and fewer than two with 0.000052; at 0.85 with 0.00000001
+and 0.0000002. The last step is the only one whose work can grow with the square
+of a group: by the classes that no star could place, times their buckets.
 
 Defined results: a text without words, or null, has an empty set and is linked with
 nothing. Fewer words than a shingle are one shingle. A row without doc_id is
@@ -182,29 +184,12 @@ def near_duplicates(
     tested = settle(members.filter("node <> center").select(*_pair(F.col("node"), F.col("center"))).distinct())
     links = _confirm(tested, docs, classes, shingle, similarity)
     labels = components(links)
-    for star in range(stars):
+    for star in range(stars + 1):
         mixed = _mixed(members, labels)
-        if star < stars - 1:
-            # Another centre, picked by a hash, for the buckets with more than one component.
-            draw = F.xxhash64("node", F.lit(star))
-            chosen = mixed.groupBy("band").agg(F.min(draw).alias("_draw"))
-            centers = mixed.withColumn("_draw", draw).join(chosen, ["band", "_draw"]).select(
-                "band", F.col("node").alias("center"), F.col("component").alias("_of")
-            )
-            more = mixed.join(centers, "band").filter("component <> _of")
-        else:
-            # The largest component of a bucket is compared with, the others compare.
-            sizes = mixed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("_n"))
-            largest = sizes.groupBy("band").agg(F.max_by("component", F.struct("_n", "component")).alias("_most"))
-            few = mixed.join(largest, "band").filter("component <> _most").select(
-                "band", F.col("node").alias("center"), F.col("component").alias("_of")
-            )
-            more = mixed.join(few, "band").filter("component <> _of")
-        fresh = settle(more.select(*_pair(F.col("node"), F.col("center"))).distinct().join(tested, ["a", "b"], "left_anti"))
-        if fresh.isEmpty():
-            if star < stars - 1:
-                continue
+        if mixed.isEmpty():
             break
+        more = _another_star(mixed, star) if star < stars else _across(mixed, classes)
+        fresh = settle(more.select(*_pair(F.col("node"), F.col("center"))).distinct().join(tested, ["a", "b"], "left_anti"))
         found = _confirm(fresh, docs, classes, shingle, similarity)
         tested = tested.unionByName(fresh)
         if not found.isEmpty():
@@ -231,6 +216,36 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return settle(labelled.join(mixed.select("band"), "band"))
 
 
+def _another_star(mixed: DataFrame, star: int) -> DataFrame:
+    """(node, center): a centre for each bucket, picked by a hash, with the classes of other components.
+
+    Buckets of one family pick different centres, so a class meets as many of them as it shares buckets.
+    """
+    draw = F.xxhash64("node", "band", F.lit(star))
+    chosen = mixed.groupBy("band").agg(F.min(draw).alias("_draw"))
+    centers = mixed.withColumn("_draw", draw).join(chosen, ["band", "_draw"]).select(
+        "band", F.col("node").alias("center"), F.col("component").alias("_of")
+    )
+    return mixed.join(centers, "band").filter("component <> _of").select("node", "center")
+
+
+def _across(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, center): the largest component of a bucket is compared with, the classes of the others compare.
+
+    A pair comes out once, in its first common bucket, and only if it has a second one.
+    """
+    sizes = mixed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.groupBy("band").agg(F.max_by("component", F.struct("_n", "component")).alias("_most"))
+    keyed = settle(mixed.join(classes.select("node", "bands"), "node").join(largest, "band"))
+    few = keyed.filter("component <> _most").select(
+        F.col("band").alias("_band"), F.col("node").alias("center"), F.col("component").alias("_of"), F.col("bands").alias("_bands")
+    )
+    common = F.filter(F.zip_with("bands", "_bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
+    once = (F.col("band") == F.col("_band")) & (F.col("component") != F.col("_of")) & (F.get(common, F.lit(0)) == F.col("band")) & (
+        F.size(common) > 1)
+    return keyed.join(few, once).select("node", "center")
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """``docs`` with one document of each component, all columns.
 
