@@ -82,7 +82,12 @@ EVAL_SAMPLE = 400
 # both bounds; beyond them the join is salted and shuffled.
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# Copies of each dimension row in a salted join.
-JOIN_SALTS = 16
-# A gazetteer of at most this many names is looked up inside the row.
-GAZETTEER_IN_ROW = 500
+# A key with more rows than this is spread over several tasks in a join that cannot broadcast.
+HEAVY_ROWS = 1_000_000
+# A language profile of at most this many grams and words, and a gazetteer of at most
+# this many names, within the bytes above, is sent to the workers.
+PROFILE_MAX_ROWS = 1_000_000
+GAZETTEER_MAX_ROWS = 1_000_000
+# Class names that travel with a plan, and class vectors with every row.
+NAMES_MAX_BYTES = 4 * 1024 * 1024
+VECTORS_MAX_BYTES = 16 * 1024 * 1024

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runestone.operators import language, subwords
+from runestone.session import fresh_dir
 
 TRAIN = [
     ("en", "the weather is nice today and we are going to the market to buy fresh bread"),
@@ -67,13 +68,16 @@ TEXTS = [
 ]
 
 
-def test_detect(spark, profiles):
+@pytest.mark.parametrize("max_rows", [1_000_000, -1])
+def test_detect(spark, profiles, max_rows):
+    """In the row, and joined where the profile may not be sent around."""
     df = spark.createDataFrame([t[:2] for t in TEXTS], "doc_id long, text string")
-    got = {r.doc_id: (r.detected, r.score) for r in language.detect(df, profiles).collect()}
+    got = {r.doc_id: (r.detected, r.score) for r in language.detect(df, profiles, max_rows=max_rows).collect()}
+    assert set(got) == {t[0] for t in TEXTS}
     table = brute_profiles()
     for key, text, want in TEXTS:
         if want is None:
-            assert key not in got
+            assert got[key] == (None, None)
             continue
         letters = "".join(c if c.isalpha() else " " for c in text.lower()).split()
         scores = {lang: sum(t.get(g, 0) for w in letters for g in grams(w)) for lang, t in table.items()}
@@ -81,6 +85,20 @@ def test_detect(spark, profiles):
         assert got[key] == (best, scores[best]) and best == want
 
 
+def test_saved_profiles(spark, profiles):
+    path = fresh_dir(spark, "profiles")
+    language.save_profiles(profiles, path)
+    again = language.load_profiles(spark, path)
+    df = spark.createDataFrame([t[:2] for t in TEXTS], "doc_id long, text string")
+    assert again.languages == profiles.languages
+    assert sorted(map(str, language.detect(df, again).collect())) == sorted(map(str, language.detect(df, profiles).collect()))
+
+
+def test_no_shuffle_of_texts(spark, profiles):
+    df = spark.createDataFrame([t[:2] for t in TEXTS], "doc_id long, text string")
+    assert "Exchange" not in language.with_language(df, profiles)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_with_language(spark, profiles):
     df = spark.createDataFrame(
         [(1, "vad är det här för ord", None), (2, "vad är det", "en"), (3, "??", None), (4, "mitä tämä on", None)],
