@@ -26,15 +26,16 @@ def join_dimension(
     settled: bool = False,
     max_rows: int = settings.BROADCAST_MAX_ROWS,
     max_bytes: int = settings.BROADCAST_MAX_BYTES,
-    salts: int = settings.JOIN_SALTS,
+    heavy_rows: int = settings.HEAVY_ROWS,
 ) -> DataFrame:
     """Join a lookup table to ``rows`` without ever shuffling a hot key to one task.
 
     The dimension is materialised and measured. Up to ``max_rows`` rows and
     ``max_bytes`` bytes (as text) it is broadcast and ``rows`` stay where they are.
-    Beyond that both sides are shuffled on (key, salt): the dimension is repeated
-    once per salt and the rows take their salt from the hash of ``salt_by``, so a
-    hot key spreads over ``salts`` tasks.
+    Beyond that both sides are shuffled. Keys with more than ``heavy_rows`` rows are
+    counted first (there are few: all rows / ``heavy_rows`` at most); their rows are
+    dealt to as many tasks as their count asks for, by the hash of ``salt_by``, and
+    only their dimension rows are repeated.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"join_dimension cannot do a {how} join")
@@ -46,10 +47,20 @@ def join_dimension(
     ).first()
     if size.rows <= max_rows and (size.bytes or 0) <= max_bytes:
         return rows.join(F.broadcast(dimension), on, how)
+    heavy = settle(
+        rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > heavy_rows)
+        .select(*on, F.ceil(F.col("_n") / heavy_rows).cast("int").alias("_salts"))
+    )
+    if heavy.isEmpty():
+        return rows.join(dimension, on, how)
     # The salt must not change when a task is run again, so it is a hash of data.
     salt_source = [salt_by] if salt_by else [c for c in rows.columns if c not in on] or on
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_source), F.lit(salts)).cast("int"))
-    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.join(F.broadcast(heavy), on, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*salt_source), F.coalesce("_salts", F.lit(1))).cast("int")
+    ).drop("_salts")
+    copies = dimension.join(F.broadcast(heavy), on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    ).drop("_salts")
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 

@@ -26,21 +26,31 @@ def skewed(spark):
 @pytest.mark.parametrize("max_rows", [10, 0])
 def test_join_dimension(spark, skewed, how, max_rows):
     dim = spark.createDataFrame([("hot", 1), ("g8", 2), ("absent", 3)], "label string, x int")
-    got = scaling.join_dimension(skewed, dim, ["label"], how, salt_by="doc_id", max_rows=max_rows, salts=5)
+    got = scaling.join_dimension(skewed, dim, ["label"], how, salt_by="doc_id", max_rows=max_rows, heavy_rows=5)
     want = skewed.join(dim, ["label"], how)
     assert got.columns == want.columns
     assert Counter(got.collect()) == Counter(want.collect())
-    hinted = "strategy=broadcast" in got._jdf.queryExecution().optimizedPlan().toString()
-    assert hinted == (max_rows > 0)
+    # Beyond the bound both sides are salted; only the few heavy keys are broadcast.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("_salt" in plan) == (max_rows == 0) and "strategy=broadcast" in plan
 
 
 def test_a_dimension_with_few_but_wide_rows_is_not_broadcast(spark, skewed):
     dim = spark.createDataFrame([("hot", "x" * 2000), ("g8", "y")], "label string, x string")
-    got = scaling.join_dimension(skewed, dim, ["label"], "left", salt_by="doc_id", max_bytes=1000)
+    got = scaling.join_dimension(skewed, dim, ["label"], "left", salt_by="doc_id", max_bytes=1000, heavy_rows=1000)
     assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()
     assert Counter(got.collect()) == Counter(skewed.join(dim, ["label"], "left").collect())
 
 
+def test_only_heavy_keys_are_repeated(spark, skewed):
+    """The hot key's dimension row is repeated as often as its share asks for, the others not at all."""
+    dim = spark.createDataFrame([("hot", 1), ("g8", 2), ("absent", 3)], "label string, x int")
+    light = scaling.join_dimension(skewed, dim, ["label"], "left", salt_by="doc_id", max_rows=0, heavy_rows=10_000)
+    assert "_salt" not in light._jdf.queryExecution().optimizedPlan().toString()
+    heavy = scaling.join_dimension(skewed, dim, ["label"], "left", salt_by="doc_id", max_rows=0, heavy_rows=1000)
+    assert Counter(heavy.collect()) == Counter(light.collect()) == Counter(skewed.join(dim, ["label"], "left").collect())
+
+
 def test_join_dimension_rejects_other_joins(spark, skewed):
     with pytest.raises(ValueError):
         scaling.join_dimension(skewed, skewed, ["label"], "full")

@@ -20,7 +20,7 @@ def test_salted_joins(spark, sf, monkeypatch, name):
     from runestone.registry.queries import QUERIES
 
     want = Counter(QUERIES[name](spark, sf).collect())
-    salted = partial(scaling.join_dimension, max_rows=-1, salts=3)
+    salted = partial(scaling.join_dimension, max_rows=-1, heavy_rows=5)
     for module in MODULES:
         if hasattr(module, "join_dimension"):
             monkeypatch.setattr(module, "join_dimension", salted)
@@ -28,9 +28,9 @@ def test_salted_joins(spark, sf, monkeypatch, name):
     assert Counter(df.collect()) == want
 
 
-def test_salted_plans_do_not_broadcast(spark, sf, monkeypatch):
+def test_heavy_keys_are_salted(spark, sf, monkeypatch):
     documents = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("source", "label_text")
     names = labels.label_map(documents)
-    monkeypatch.setattr(labels, "join_dimension", partial(scaling.join_dimension, max_rows=-1, salts=3))
+    monkeypatch.setattr(labels, "join_dimension", partial(scaling.join_dimension, max_rows=-1, heavy_rows=5))
     plan = labels.encode_labels(documents, names, strict=False)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "strategy=broadcast" not in plan
+    assert "_salt" in plan
