@@ -17,6 +17,7 @@ from runestone.functions.arrays import majority_labels, most_common, word_freque
 from runestone.functions.text import strip_edges
 from runestone.functions.tokens import LETTER_RUN
 from runestone.operators.scaling import join_dimension
+from runestone.session import settle
 
 # Repeated groups are possessive: Java would otherwise recurse once per repetition,
 # and a long run of capitalised words would overflow the stack.
@@ -39,9 +40,6 @@ CANDIDATE = (
 MENTION_OR_WORD = rf"({MENTION})|[\p{{L}}\p{{M}}\p{{N}}]+"
 
 
-
-
-
 def raw_mentions(text: Column) -> Column:
     """Surface forms of possible mentions, in textual order."""
     found = F.regexp_extract_all(text, F.lit(MENTION_OR_WORD), F.lit(1))
@@ -62,45 +60,80 @@ def rule_label(surface: Column) -> Column:
     )
 
 
+def listed_names(gazetteer: DataFrame) -> DataFrame:
+    """One label per name, the first in order; names compare in lower case, and rows
+    without a name or label are left out."""
+    return (
+        gazetteer.filter(F.col("name").isNotNull() & F.col("label").isNotNull())
+        .groupBy(F.lower("name").alias("name")).agg(F.min("label").alias("label"))
+    )
+
+
+def name_lookup(
+    gazetteer: DataFrame, max_rows: int = settings.GAZETTEER_MAX_ROWS, max_bytes: int = settings.BROADCAST_MAX_BYTES
+) -> Callable[[Column], Column]:
+    """A function on columns, array of names -> array of their labels (NULL where unlisted).
+
+    The names are measured and sent to the workers, so that a document stays in its row,
+    on a stream too. A gazetteer beyond the bounds raises; ``entity_mentions`` then joins.
+    """
+    names = settle(listed_names(gazetteer))
+    size = names.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("name") + F.octet_length("label")).alias("bytes")).first()
+    if size.rows > max_rows or (size.bytes or 0) > max_bytes:
+        raise OverflowError(f"a gazetteer of {size.rows} names and {size.bytes} bytes is not sent around")
+    shared = names.sparkSession.sparkContext.broadcast({row.name: row.label for row in names.collect()})
+
+    @F.pandas_udf("array<string>")
+    def lookup(batch: pd.Series) -> pd.Series:
+        label = shared.value.get
+        return batch.map(lambda found: None if found is None else [label(name) for name in found])
+
+    return lookup
+
+
 def entity_mentions(
     df: DataFrame,
     gazetteer: DataFrame | None = None,
     text: str = "text",
     key: str = "doc_id",
-    in_row: int = settings.GAZETTEER_IN_ROW,
+    max_rows: int = settings.GAZETTEER_MAX_ROWS,
 ) -> DataFrame:
-    """Add ``mentions array<struct<text, label, pos>>``.
+    """Add ``mentions array<struct<text, label, pos>>``, in textual order.
 
-    ``gazetteer`` is ``(name, label)`` with lower-case names; it wins over the
-    rules. A small one is looked up inside the row. A larger one is joined: names
-    are exploded, joined without a hot key, and gathered again per document.
+    ``gazetteer`` is ``(name, label)``; it wins over the rules, and a name with two
+    labels has the first in order. Documents stay in their rows. Only a gazetteer too
+    large to be sent around is joined, with the same result, by ``key``.
     """
     df = df.withColumn("_raw", raw_mentions(F.col(text)))
-    if gazetteer is None:
-        names: list = []
-    else:
-        names = gazetteer.select("name", "label").distinct().orderBy("name", "label").limit(in_row + 1).collect()
 
-    def labelled(lookup: Callable[[Column], Column]) -> Column:
+    def labelled(label: Callable[[Column, Column], Column]) -> Column:
         entries = F.transform("_raw", lambda surface, i: F.struct(
-            surface.alias("text"), lookup(surface).alias("label"), i.alias("pos")))
+            surface.alias("text"), label(surface, i).alias("label"), i.alias("pos")))
         return F.filter(entries, lambda m: m["label"].isNotNull())
 
-    if len(names) <= in_row:
-        if names:
-            known = F.create_map(*[F.lit(v) for row in names for v in (row.name, row.label)])
-            column = labelled(lambda s: F.coalesce(F.element_at(known, F.lower(s)), rule_label(s)))
-        else:
-            column = labelled(rule_label)
-        return df.withColumn("mentions", column).drop("_raw")
-
+    if gazetteer is None:
+        return df.withColumn("mentions", labelled(lambda s, _: rule_label(s))).drop("_raw")
+    try:
+        lookup = name_lookup(gazetteer, max_rows)
+    except OverflowError:
+        return _joined_mentions(df, gazetteer, text, key)
+    listed = lookup(F.transform("_raw", F.lower))
+    return df.withColumn("_listed", listed).withColumn(
+        "mentions", labelled(lambda s, i: F.coalesce(F.get(F.col("_listed"), i), rule_label(s)))
+    ).drop("_raw", "_listed")
+
+
+def _joined_mentions(df: DataFrame, gazetteer: DataFrame, text: str, key: str) -> DataFrame:
     seen = df.select(key, F.posexplode("_raw").alias("pos", "text")).withColumn("name", F.lower("text"))
-    labels = gazetteer.groupBy("name").agg(F.min("label").alias("_listed"))
+    labels = listed_names(gazetteer).withColumnRenamed("label", "_listed")
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "text", "label")))
     found = (
         join_dimension(seen, labels, ["name"], "left", salt_by=key)
         .withColumn("label", F.coalesce("_listed", rule_label(F.col("text"))))
         .filter(F.col("label").isNotNull())
-        .groupBy(key).agg(F.collect_list(F.struct("text", "label", "pos")).alias("mentions"))
+        .groupBy(key).agg(F.transform(in_order, lambda m: F.struct(
+            m["text"].alias("text"), m["label"].alias("label"), m["pos"].alias("pos"))).alias("mentions"))
     )
     joined = df.drop("_raw").join(found, key, "left")
     empty = F.array().cast("array<struct<text:string,label:string,pos:int>>")

@@ -72,10 +72,10 @@ def tagged(spark):
     return df, gazetteer
 
 
-@pytest.mark.parametrize("in_row", [500, 0])
-def test_mentions(tagged, in_row):
+@pytest.mark.parametrize("max_rows", [500, -1])
+def test_mentions(tagged, max_rows):
     df, gazetteer = tagged
-    rows = {r.doc_id: r.mentions for r in tagging.entity_mentions(df, gazetteer, in_row=in_row).collect()}
+    rows = {r.doc_id: r.mentions for r in tagging.entity_mentions(df, gazetteer, max_rows=max_rows).collect()}
     got = sorted((m.pos, m.text, m.label) for m in rows[1])
     assert [g[1:] for g in got] == [
         ("Acmebank", "ORG"), ("Acmebank", "ORG"), ("Stockholm", "GPE"), ("12,5 %", "PERCENT"), ("2024-05-01", "DATE"),
@@ -84,6 +84,18 @@ def test_mentions(tagged, in_row):
     assert rows[2] == [] and rows[3] is None and [m.text for m in rows[4]] == ["2"]
 
 
+@pytest.mark.parametrize("max_rows", [500, -1])
+@pytest.mark.parametrize("names", [0, 501])
+def test_one_label_per_name(spark, tagged, max_rows, names):
+    """A name with two labels has the first in order, in a gazetteer of any size."""
+    df, _ = tagged
+    rows = [("Acmebank", "ORG"), ("acmebank", "GPE"), ("stockholm", None), (None, "ORG"), *[(f"name{i}", "ORG") for i in range(names)]]
+    gazetteer = spark.createDataFrame(rows, "name string, label string")
+    found = {r.doc_id: r.mentions for r in tagging.entity_mentions(df, gazetteer, max_rows=max_rows).collect()}
+    assert [(m.text, m.label) for m in found[1][:3]] == [("Acmebank", "GPE"), ("Acmebank", "GPE"), ("12,5 %", "PERCENT")]
+    assert [m.pos for m in found[1]] == sorted(m.pos for m in found[1])
+
+
 def test_tag_documents(tagged):
     df, gazetteer = tagged
     rows = {r.doc_id: r for r in tagging.tag_documents(df, gazetteer).collect()}
