@@ -208,10 +208,13 @@ def corpus_summary(df: DataFrame, text: str = "text", target: str = "label_text"
         F.coalesce(F.sum(F.when(words == 0, n)), F.lit(0)).alias("empty"),
         F.sum(n - 1).alias("duplicates"),
     )
+    # Rows without a class count as documents, not as a class.
+    named = F.when(F.col(target).isNotNull(), n)
     classes = (
         df.groupBy("language", target).agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("language").agg(
-            F.count(target).alias("classes"), F.round(F.max("n") / F.min("n"), 1).alias("imbalance")
+        .groupBy(F.col("language").alias("_language")).agg(
+            F.count(target).alias("classes"), F.round(F.max(named) / F.min(named), 1).alias("imbalance")
         )
     )
-    return texts.join(classes, "language")
+    # One row per language on both sides, the documents without a language included.
+    return texts.join(classes, F.col("language").eqNullSafe(F.col("_language"))).drop("_language")

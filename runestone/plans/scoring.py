@@ -1,4 +1,7 @@
-"""Batch scoring: language -> clean text -> class -> tags, one lazy plan."""
+"""Batch scoring: language -> clean text -> class -> tags, in one plan without a shuffle.
+
+The plan itself is lazy; names, profiles and gazetteers are measured while it is built.
+"""
 
 from __future__ import annotations
 
@@ -12,22 +15,29 @@ from runestone import settings
 from runestone.functions import arrays as ax
 from runestone.functions.text import sanitize, strip_edges
 from runestone.operators.language import LanguageProfiles, with_language
+from runestone.operators.tagging import annotate as annotate_rows
 from runestone.operators.tagging import tag_documents
 
 # A scorer adds ``probability ARRAY<DOUBLE>`` computed from ``clean_text``.
 Scorer = Callable[[DataFrame], DataFrame]
-MAX_CLASSES = 10_000
-
 
 def length_scorer(classes: int) -> Scorer:
-    """A stand-in model: class ``len(clean_text) % classes`` gets 0.9, the others 0."""
+    """A stand-in model with confidences on both sides of a half.
+
+    Class ``len(clean_text) % classes`` gets 0.3 to 0.9 by the length modulo 7, the class
+    after it 0.25, the others 0.
+    """
 
     def score(df: DataFrame) -> DataFrame:
         ids = F.sequence(F.lit(0), F.lit(classes - 1))
+
+        def chances(length: Column) -> Column:
+            hit = length % classes
+            return F.transform(ids, lambda i: F.when(i == hit, (3 + length % 7) / F.lit(10.0))
+                               .when(i == (hit + 1) % classes, F.lit(0.25)).otherwise(F.lit(0.0)))
+
         # Bound outside the lambda: the optimizer may put the whole cleaning there.
-        return df.withColumn("probability", ax.let(
-            F.length("clean_text") % classes,
-            lambda hit: F.transform(ids, lambda i: F.when(i == hit, F.lit(0.9)).otherwise(F.lit(0.0)))))
+        return df.withColumn("probability", ax.let(F.length("clean_text"), chances))
 
     return score
 
@@ -49,17 +59,31 @@ def plugin_scorer(load, batch: int = settings.SCORING_BATCH) -> Scorer:
     return lambda df: score_plugin(df, load, batch=batch)
 
 
-def category_names(labels: DataFrame | None) -> Callable[[Column], Column]:
-    """Id -> name. As many names as a probability row has entries, so they travel
-    with the plan; an id without a name is shown as a number."""
-    rows = [] if labels is None else labels.select("label", "label_text").distinct().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+def category_names(
+    labels: DataFrame | None, max_bytes: int = settings.NAMES_MAX_BYTES
+) -> Callable[[Column], Column]:
+    """Id -> name; an id without a name is shown as a number, one with two names has the first in order.
+
+    As many names as a probability row has entries travel with the plan. They are
+    measured first; more bytes than that raise.
+    """
+    if labels is None:
+        return lambda i: i.cast("string")
+    named = labels.filter(F.col("label").isNotNull() & F.col("label_text").isNotNull()).groupBy("label").agg(
+        F.min("label_text").alias("name"))
+    size = named.agg(F.sum(F.octet_length("name") + 8)).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"{size} bytes of class names, more than {max_bytes}")
+    rows = sorted(named.collect())
     if not rows:
         return lambda i: i.cast("string")
-    by_id = {row.label: row.label_text for row in rows if row.label is not None and row.label >= 0}
-    names = F.array(*[F.lit(by_id.get(i)).cast("string") for i in range(max(by_id, default=-1) + 1)])
-    return lambda i: F.coalesce(F.get(names, i), i.cast("string"))
+    by_id = {row.label: row.name for row in rows}
+    if 0 <= rows[0].label and rows[-1].label < 4 * len(rows):
+        names = F.array(*[F.lit(by_id.get(i)).cast("string") for i in range(rows[-1].label + 1)])
+        return lambda i: F.coalesce(F.get(names, i), i.cast("string"))
+    # Sparse ids: as many entries as names, not as the largest id.
+    known = F.create_map(*[F.lit(v) for row in rows for v in (int(row.label), row.name)])
+    return lambda i: F.coalesce(F.element_at(known, i.cast("int")), i.cast("string"))
 
 
 def classify(df: DataFrame, scorer: Scorer, labels: DataFrame | None = None,
@@ -90,11 +114,14 @@ def score_batch(
     key: str = "doc_id",
     text: str = "text",
     strict: bool = False,
+    annotate: Callable | None = None,
 ) -> DataFrame:
-    """Score and tag a batch or, without profiles and with small gazetteers, a stream.
+    """Score and tag a batch or a stream.
 
     A given language is used as it is; others are detected. Blank documents are
-    scored with status 'blank' and no tags; ``strict`` raises instead.
+    scored with status 'blank' and no tags; ``strict`` raises instead. ``annotate``
+    loads an external annotator that is used instead of the rules; where it fails the document
+    has no entities and the reason in ``error``, and is scored all the same.
     """
     blank = F.col(text).isNull() | (F.length(strip_edges(F.col(text))) == 0)
     if strict and not df.filter(blank).isEmpty():
@@ -104,10 +131,12 @@ def score_batch(
     rows = with_language(rows, profiles, text, key, supported)
     rows = sanitize(rows, text).withColumn("status", F.when(blank, F.lit("blank")).otherwise(F.lit("ok")))
     rows = classify(rows, scorer, labels)
+    if annotate is not None:
+        rows = annotate_rows(rows, annotate, "clean_text")
     rows = tag_documents(rows, gazetteer, lexicon, "clean_text", key)
     return rows.select(
         key, "status", "language", "category", "category_id", "confidence", "low_confidence",
-        "top_categories", "tags", "keywords", "entities",
+        "top_categories", "tags", "keywords", "entities", *(["error"] if annotate is not None else []),
     )
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,13 +47,40 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+# Folders made inside each open ``scratch`` block, the innermost last.
+_OWNED: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside the block are removed when it ends.
+
+    The result must be written, or its rows collected, before that.
+    """
+    _OWNED.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNED.pop():
+            remove_dir(spark, path)
+
+
+def remove_dir(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any file system that Spark knows; false where there is none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and go on from there.
 
     It cuts the lineage as a checkpoint does, survives lost executors, and as
     Parquet it is compressed, read by column, and of a size the optimizer knows.
+    It stays until the folder is emptied or the ``scratch`` block around it ends.
     """
     path = fresh_dir(df.sparkSession, "settled")
+    if _OWNED:
+        _OWNED[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from runestone import settings
 from runestone.operators.tagging import tag_counts
 from runestone.plans.scoring import Scorer, score_batch
+from runestone.session import remove_dir
 
 
 def document_stream(
@@ -20,13 +21,23 @@ def document_stream(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def score_stream(documents: DataFrame, scorer: Scorer, **options) -> DataFrame:
-    """The batch plan on a stream: every step is per document, so there is no state."""
-    return score_batch(documents, scorer, profiles=None, **options)
+def score_stream(documents: DataFrame, scorer: Scorer, partitions: int | None = None, **options) -> DataFrame:
+    """The batch plan on a stream: every step is per document, so there is no state.
+
+    ``profiles`` detect undeclared languages here too. ``partitions`` spreads
+    micro-batches that arrive in fewer splits than there are cores.
+    """
+    return score_batch(documents.repartition(partitions) if partitions else documents, scorer, **options)
 
 
-def stream_tag_counts(scored: DataFrame) -> DataFrame:
-    """Running tag counts; one state row per tag. A new checkpoint clears the history."""
+def stream_tag_counts(scored: DataFrame, keywords: bool = True) -> DataFrame:
+    """Running tag counts. A new checkpoint clears the history.
+
+    With keywords there is a state row per keyword that ever occurred; without them
+    one per unified tag, a fixed set.
+    """
+    if not keywords:
+        scored = scored.withColumn("keywords", F.array().cast("array<string>"))
     return tag_counts(scored)
 
 
@@ -49,13 +60,15 @@ def append_to(scored: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def replace_at(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest complete table of a running aggregation, one folder per batch.
+    """Keep the latest complete tables of a running aggregation, one folder per batch.
 
-    A batch that is run again overwrites its own folder only.
+    A batch that is run again overwrites its own folder only. The one before stays for
+    readers that are at it, earlier ones are removed.
     """
 
     def write(table: DataFrame, batch: int) -> None:
         table.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+        remove_dir(table.sparkSession, f"{path.rstrip('/')}/batch={batch - 2}")
 
     return (
         counts.writeStream.outputMode("complete").foreachBatch(write)

@@ -9,9 +9,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from runestone.operators import labels, profiling
+from runestone.operators import compression, labels, profiling
 from runestone.plans import corpus_build
-from runestone.session import fresh_dir
+from runestone.session import fresh_dir, remove_dir, scratch, settle
 from runestone.sources import tables
 
 
@@ -166,6 +166,21 @@ def test_lengths(profiled):
         profiling.length_describe(profiled.limit(0), strict=True)
 
 
+def test_summary_keeps_documents_without_a_language(spark):
+    rows = [(1, "a b", "x", None), (2, "a b", None, None), (3, "c", "x", "en"), (4, "d", "x", "en"), (5, "e", "y", "en"), (6, "f", None, "sv")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label_text string, language string")
+    got = {r.language: (r.documents, r.duplicates, r.classes, r.imbalance) for r in profiling.corpus_summary(df).collect()}
+    assert got == {None: (2, 1, 1, 1.0), "en": (3, 0, 2, 2.0), "sv": (1, 0, 0, None)}
+
+
+def test_scratch_tables_are_removed(spark):
+    with scratch(spark):
+        table = settle(spark.range(3))
+        path = table.inputFiles()[0].rsplit("/", 1)[0]
+        assert table.count() == 3
+    assert compression.stored_size(spark, path).first().size_mb == 0.0 and not remove_dir(spark, path)
+
+
 def test_one_length_only(spark):
     df = spark.createDataFrame([(1, "a b c", "en")], "doc_id long, text string, language string")
     assert profiling.length_describe(df).first()["std"] is None

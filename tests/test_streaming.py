@@ -15,7 +15,7 @@ SCHEMA = "doc_id long, text string, language string"
 def documents(spark, start, n):
     return spark.range(start, start + n).select(
         F.col("id").alias("doc_id"),
-        F.concat(F.lit("Alpha Beta wrote about market number "), F.col("id").cast("string"), F.lit(" <b>daily</b>")).alias("text"),
+        F.concat(F.lit("Alpha Beta wrote about market number "), F.col("id").cast("string"), F.lit(" <b>daily</b>"), F.repeat(F.lit("x"), (F.col("id") % 7).cast("int"))).alias("text"),
         F.when(F.col("id") % 2 == 0, "en").otherwise("sv").alias("language"),
     )
 
@@ -42,5 +42,7 @@ def test_stream_equals_batch(spark):
     assert {r.tag: r.n for r in live.latest_table(spark, tags).collect()} == {r.tag: r.n for r in tag_counts(batch).collect()}
     monitored = {r.language: (r.documents, round(r.mean_confidence, 6), r.low_confidence)
                  for r in live.latest_table(spark, watch).collect()}
-    assert monitored == {"en": (25, 0.9, 0), "sv": (25, 0.9, 0)}
+    want = {r.language: (r.n, round(r.mean, 6), r.low) for r in batch.groupBy("language").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("confidence").alias("mean"), F.count_if("low_confidence").alias("low")).collect()}
+    assert monitored == want and 0 < sum(low for _, _, low in want.values()) < 50
     assert sum(rows for _, rows, _ in listener.progress) >= 50
