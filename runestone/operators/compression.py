@@ -3,18 +3,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.functions import vectors as vx
-from runestone.operators.scaling import join_dimension, prefix_sums
+from runestone.operators.scaling import join_dimension
 from runestone.session import settle
 
 BYTES = {"original": 4, "pruned": 4, "fp16": 2, "int8": 1}
-MB = 1024 * 1024
-# Class weight vectors are matched with every row, so their number is bounded.
-MAX_CLASSES = 10_000
+MB = 1_000_000
 
 
 def prune_tensors(weights: DataFrame, sparsity: float = settings.TARGET_SPARSITY,
@@ -42,19 +41,29 @@ def prune_report(pruned: DataFrame, sparsity: float = settings.TARGET_SPARSITY,
 def prune_long(weights: DataFrame, sparsity: float = settings.TARGET_SPARSITY) -> DataFrame:
     """Prune ``(tensor, idx, w)`` rows; a tensor may hold any share of all weights.
 
-    Magnitudes are counted per tensor, ``prefix_sums`` finds where the k-th
-    smallest lies, and each weight is compared with that threshold.
+    Weights are counted per tensor and magnitude bucket, 64 to an octave. Only the
+    magnitudes of the bucket with the k-th smallest are then counted one by one (a
+    bucket of 32-bit floats has at most 2 ** 18), and each weight is compared with
+    the threshold found there. The weights themselves are not shuffled.
     """
     vx.check_sparsity(sparsity)
-    counts = weights.groupBy("tensor", F.abs("w").alias("magnitude")).agg(F.count(F.lit(1)).alias("n"))
-    ranked = prefix_sums(counts, ["tensor"], ["magnitude"], {"below": "n"})
-    sizes = (
-        counts.groupBy("tensor").agg(F.sum("n").alias("size"))
-        .withColumn("k", F.floor(F.lit(float(sparsity)) * F.col("size")))
+    magnitude = F.abs("w")
+    # Monotone in the magnitude; zero lies below all others.
+    bucket = F.when(magnitude == 0, F.lit(-1_000_000)).otherwise(F.floor(F.log2(magnitude.cast("double")) * 64)).cast("int")
+    counts = settle(weights.groupBy("tensor", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
+    running = counts.withColumn("through", F.sum("n").over(Window.partitionBy("tensor").orderBy("bucket"))).withColumn(
+        "k", F.floor(F.lit(float(sparsity)) * F.sum("n").over(Window.partitionBy("tensor"))))
+    edge = settle(
+        running.filter((F.col("k") <= F.col("through")) & (F.col("k") > F.col("through") - F.col("n")))
+        .select("tensor", "bucket", (F.col("k") - F.col("through") + F.col("n")).alias("nth"))
     )
+    candidates = join_dimension(
+        weights.select("tensor", "idx", bucket.alias("bucket"), magnitude.alias("magnitude")), edge, ["tensor", "bucket"], "inner",
+        salt_by="idx", settled=True)
+    exact = candidates.groupBy("tensor", "nth", "magnitude").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("tensor").orderBy("magnitude"))
     thresholds = (
-        join_dimension(ranked, sizes, ["tensor"], "inner", salt_by="magnitude")
-        .filter((F.col("k") > F.col("below")) & (F.col("k") <= F.col("below") + F.col("n")))
+        exact.withColumn("upto", upto).filter((F.col("nth") <= F.col("upto")) & (F.col("nth") > F.col("upto") - F.col("n")))
         .select("tensor", F.col("magnitude").alias("threshold"))
     )
     joined = join_dimension(weights, thresholds, ["tensor"], "left", salt_by="idx")
@@ -81,10 +90,14 @@ def artifact_size(weights: DataFrame, bytes_per_value: int = 4) -> DataFrame:
 
 
 def stored_size(spark, path: str) -> DataFrame:
-    """Size of the files below ``path`` in MB, without reading their content."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(
-        F.round(F.coalesce(F.sum("length"), F.lit(0)) / float(MB), 2).alias("size_mb")
-    )
+    """Size of the files below ``path`` in MB, without reading their content; 0.0 for a missing path."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "length long")
+    return files.agg(F.round(F.coalesce(F.sum("length"), F.lit(0)) / float(MB), 2).alias("size_mb"))
 
 
 def centroid_weights(examples: DataFrame, values: str = "embedding", label: str = "label") -> DataFrame:
@@ -112,10 +125,14 @@ def _nearest(vector: Column, classes: Column) -> Column:
 
 def classifier_accuracy(weights: DataFrame, examples: DataFrame, values: str = "embedding",
                         label: str = "label") -> DataFrame:
-    """Accuracy of the weight table as a classifier of ``examples``, in one pass over them."""
+    """Accuracy of the weight table as a classifier of ``examples``, in one pass over them.
+
+    The class vectors go to every task, so their bytes are measured and bounded.
+    """
     packed = settle(weights.select("tensor", "values"))
-    if packed.count() > MAX_CLASSES:
-        raise ValueError(f"at most {MAX_CLASSES} classes can be scored")
+    size = packed.agg(F.sum(F.octet_length("tensor") + 4 * F.size("values"))).first()[0] or 0
+    if size > settings.VECTORS_MAX_BYTES:
+        raise ValueError(f"{size} bytes of class vectors, more than {settings.VECTORS_MAX_BYTES}")
     classes = packed.agg(F.array_sort(F.collect_list(F.struct("tensor", "values")))).scalar()
     hit = _nearest(F.col(values), F.col("_classes")) == F.col(label).cast("string")
     return examples.select(values, label, classes.alias("_classes")).agg(F.round(F.avg(hit.cast("int")), 4).alias("accuracy"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.functions.arrays import word_frequencies
 from runestone.functions.tokens import word_tokens
-from runestone.operators.scaling import join_dimension, top_rows
+from runestone.operators.scaling import top_rows
 from runestone.session import settle
 
 
@@ -22,29 +24,59 @@ def _term_counts(df: DataFrame, text: str, key: str) -> DataFrame:
 
 def tfidf_vocabulary(df: DataFrame, max_features: int = settings.MAX_FEATURES, text: str = "text",
                      key: str = "doc_id") -> DataFrame:
-    """``(term, term_count, doc_count, idf)`` of the ``max_features`` commonest terms, ties by term."""
-    n = df.count()
-    counts = _term_counts(df, text, key).groupBy("term").agg(
-        F.sum("tf").alias("term_count"), F.count(F.lit(1)).alias("doc_count")
+    """``(term, term_count, doc_count, idf)`` of the ``max_features`` commonest terms, ties by term.
+
+    Every document also has one NULL term, so one pass counts terms and documents.
+    """
+    terms = word_frequencies(word_tokens(F.lower(F.col(text))))
+    marked = F.concat(
+        F.array(F.struct(F.lit(None).cast("string").alias("word"), F.lit(0).alias("n"))),
+        F.transform(F.coalesce(terms, F.array()), lambda t: F.struct(t["word"].alias("word"), t["n"].cast("int").alias("n"))),
     )
-    kept = top_rows(counts, "term_count", "term", max_features)
+    counts = settle(
+        df.select(F.explode(marked).alias("t")).groupBy(F.col("t.word").alias("term"))
+        .agg(F.sum("t.n").alias("term_count"), F.count(F.lit(1)).alias("doc_count"))
+    )
+    n = counts.filter(F.col("term").isNull()).agg(F.coalesce(F.max("doc_count"), F.lit(0))).first()[0]
+    kept = top_rows(counts.filter(F.col("term").isNotNull()), "term_count", "term", max_features)
     return kept.withColumn(
         "idf", F.log(F.lit(float(1 + n)) / (F.col("doc_count") + 1).cast("double")) + 1.0
     )
 
 
-def tfidf_weights(df: DataFrame, vocabulary: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(key, term, weight)``, L2-normalised per document.
+def tfidf_weights(df: DataFrame, vocabulary: DataFrame, text: str = "text", key: str = "doc_id",
+                  max_bytes: int = settings.BROADCAST_MAX_BYTES) -> DataFrame:
+    """``(key, term, weight)``, L2-normalised per document, computed inside the row.
 
-    Documents are shuffled by key before they are exploded, so the norm needs no
-    further exchange of the much larger term table.
+    The vocabulary is part of the model: it is measured and sent to the workers. One
+    larger than ``max_bytes`` raises.
     """
-    terms = _term_counts(df.select(key, text).repartition(key), text, key)
-    raw = join_dimension(terms, vocabulary.select("term", "idf"), ["term"], "inner", salt_by=key).select(
-        key, "term", (F.col("tf") * F.col("idf")).alias("raw")
-    )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", (F.col("raw") / norm).alias("weight"))
+    vocabulary = settle(vocabulary.select("term", "idf"))
+    size = vocabulary.agg(F.sum(F.octet_length("term") + 8)).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"{size} bytes of terms, more than {max_bytes}")
+    shared = vocabulary.sparkSession.sparkContext.broadcast({r.term: r.idf for r in vocabulary.collect()})
+
+    @F.pandas_udf("array<double>")
+    def weigh(words: pd.Series, counts: pd.Series) -> pd.Series:
+        idf = shared.value.get
+
+        def document(own, tf):
+            if own is None:
+                return None
+            raw = np.array([idf(word, 0.0) for word in own]) * tf
+            norm = np.sqrt((raw * raw).sum())
+            return raw / norm if norm else raw
+
+        return pd.Series([document(w, n) for w, n in zip(words, counts)], dtype="object")
+
+    terms = df.select(key, word_frequencies(word_tokens(F.lower(F.col(text)))).alias("_terms"))
+    words, counts = F.col("_terms.word"), F.col("_terms.n")
+    weighed = terms.withColumn("_weights", weigh(words, counts))
+    # A term outside the vocabulary weighs nothing.
+    return weighed.select(key, F.explode(F.arrays_zip(words.alias("term"), F.col("_weights").alias("weight"))).alias("t")).select(
+        key, F.col("t.term").alias("term"), F.col("t.weight").alias("weight")
+    ).filter(F.col("weight") > 0)
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:

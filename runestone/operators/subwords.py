@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runestone import settings
 from runestone.functions.tokens import word_tokens
 from runestone.operators.scaling import top_rows
 from runestone.session import settle
@@ -16,8 +17,6 @@ CONTINUATION = "##"
 UNKNOWN = "[UNK]"
 MAX_PIECE = 8
 VOCABULARY_SIZE = 8_000
-# The vocabulary is sent to every worker; it may not grow beyond this.
-MAX_VOCABULARY = 200_000
 
 
 def piece_counts(corpus: DataFrame, text: str = "text", max_piece: int = MAX_PIECE) -> DataFrame:
@@ -54,17 +53,21 @@ def learn_subwords(corpus: DataFrame, text: str = "text", size: int = VOCABULARY
     return letters.unionByName(top_rows(longer, "saved", "piece", size).select("piece", "n"))
 
 
-def subword_encoder(vocabulary: DataFrame, max_piece: int = MAX_PIECE):
+def subword_encoder(vocabulary: DataFrame, max_bytes: int = settings.BROADCAST_MAX_BYTES):
     """A function on columns ``array<string> -> array<string>``: greedy longest match.
 
-    Tokens stay in their row, so common words are not shuffled; a worker encodes
+    The vocabulary is measured and sent to every worker; one of more than ``max_bytes``
+    raises. The longest piece to look for is the vocabulary's. Tokens stay in their row, so common words are not shuffled; a worker encodes
     each word once per batch. A word with a character outside the vocabulary
     becomes [UNK].
     """
-    rows = vocabulary.select("piece").limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"a sub-word vocabulary may have at most {MAX_VOCABULARY} pieces")
-    shared = vocabulary.sparkSession.sparkContext.broadcast(frozenset(r.piece for r in rows))
+    vocabulary = settle(vocabulary.select("piece"))
+    size = vocabulary.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"{size} bytes of sub-word pieces, more than {max_bytes}")
+    pieces = frozenset(r.piece for r in vocabulary.collect())
+    max_piece = max((len(p.removeprefix(CONTINUATION)) for p in pieces), default=1)
+    shared = vocabulary.sparkSession.sparkContext.broadcast(pieces)
 
     def split(word: str) -> list[str]:
         known, pieces, at = shared.value, [], 0

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -20,15 +21,18 @@ from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.functions.arrays import argmax
-from runestone.functions.tokens import TOKEN
+from runestone.functions.tokens import TOKEN, word_tokens
 from runestone.operators import evaluation
-from runestone.operators.features import class_weights, tfidf_vocabulary
+from runestone.operators.features import class_weights, tfidf_vocabulary, tfidf_weights
 from runestone.operators.sampling import assign_folds
 from runestone.operators.scaling import join_dimension
 from runestone.session import settle
 
 # An iterated fit reads its input once per iteration: it is kept on the executors.
 WEIGHT = "_weight"
+ROWS_PER_TASK = 20_000
+# White space, so never part of a token.
+TOKEN_END = "\x1f"
 
 
 @dataclass(frozen=True)
@@ -63,7 +67,10 @@ def _fit(stages: Sequence[Transformer], df: DataFrame, label: str, key: str, c:
     features = PipelineModel(list(stages))
     ready = balanced(features.transform(df).select(key, label, "features"), label, key).cache()
     try:
-        model = _regression(ready.count(), label, c, max_iter, tol).fit(ready)
+        rows = ready.count()
+        # Every iteration is a job: few rows are read by few tasks.
+        few = ready.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+        model = _regression(rows, label, c, max_iter, tol).fit(few)
         losses = list(model.summary.objectiveHistory)
     finally:
         ready.unpersist()
@@ -141,6 +148,88 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None
     )
 
 
+@dataclass(frozen=True)
+class LinearText:
+    """What a fitted baseline consists of: terms, their idf, and per class weights and an intercept."""
+
+    terms: list[str]
+    idf: np.ndarray
+    weights: np.ndarray
+    intercepts: np.ndarray
+
+    def table(self, spark) -> DataFrame:
+        """The weights as a weight table, one tensor per class; bounded by classes and vocabulary."""
+        rows = [(str(c), 2, [float(x) for x in line]) for c, line in enumerate(self.weights)]
+        return spark.createDataFrame(rows, "tensor string, rank int, values array<float>")
+
+    def with_weights(self, table: DataFrame) -> LinearText:
+        """The same model with the weights of a variant's table; int8 codes are multiplied out."""
+        coded = "codes" in table.columns
+        rows = {int(r.tensor): np.array(r.codes, "float64") * r.scale if coded else np.array(r["values"], "float64")
+                for r in table.collect()}
+        return replace(self, weights=np.stack([rows[c] for c in range(len(self.weights))]))
+
+
+def linear_parts(model: PipelineModel) -> LinearText:
+    """Take a pipeline of ``train_baseline`` apart."""
+    _, counter, scaling, _, regression = model.stages
+    return LinearText(
+        list(counter.vocabulary), scaling.getScalingVec().toArray(), regression.coefficientMatrix.toArray(),
+        regression.interceptVector.toArray())
+
+
+def linear_probabilities(df: DataFrame, parts: LinearText, text: str = "clean_text", into: str = "probability") -> DataFrame:
+    """Add the model's probabilities without Spark ML: variants are served this way, in batches and on streams."""
+    shared = df.sparkSession.sparkContext.broadcast(
+        ({term: i for i, term in enumerate(parts.terms)}, parts.idf, parts.weights.T.copy(), parts.intercepts))
+
+    @F.pandas_udf("array<double>")
+    def probabilities(texts: pd.Series) -> pd.Series:
+        places, idf, weights, intercepts = shared.value
+        out = []
+        for tokens in texts:
+            counts = Counter(tokens.split(TOKEN_END)) if tokens else {}
+            found = [(places[w], n) for w, n in counts.items() if w in places]
+            scores = intercepts.copy()
+            if found:
+                at = np.array([i for i, _ in found])
+                raw = np.array([n for _, n in found], "float64") * idf[at]
+                scores = scores + (raw / np.sqrt((raw * raw).sum())) @ weights[at]
+            e = np.exp(scores - scores.max())
+            out.append(e / e.sum())
+        return pd.Series(out, dtype="object")
+
+    return df.withColumn(into, probabilities(F.array_join(word_tokens(F.lower(F.col(text))), TOKEN_END)))
+
+
+def linear_scorer(parts: LinearText) -> Callable[[DataFrame], DataFrame]:
+    """A scorer for ``score_batch``."""
+    return lambda df: linear_probabilities(df, parts)
+
+
+def largest_gradient(fitted: Fitted, train: DataFrame, label: str = "label", text: str = "clean_text",
+                     key: str = "doc_id", c: float = 1.0) -> float:
+    """The largest entry of the objective's gradient at the fitted weights: near 0 after convergence.
+
+    Computed from the TF-IDF table and the weights, apart from the optimizer.
+    """
+    spark, parts = train.sparkSession, linear_parts(fitted.model)
+    vocabulary = spark.createDataFrame([(t, float(x)) for t, x in zip(parts.terms, parts.idf)], "term string, idf double")
+    rows = settle(balanced(train.select(key, label, text), label, key))
+    total, n = rows.agg(F.sum(WEIGHT), F.count(F.lit(1))).first()
+    weighed = tfidf_weights(rows, vocabulary, text, key)
+    scored = linear_probabilities(rows, parts, text, "_chances")
+    errors = settle(scored.select(key, F.posexplode("_chances").alias("class", "p"), label, WEIGHT).select(
+        key, "class", (F.col(WEIGHT) * (F.col("p") - (F.col(label) == F.col("class")).cast("double")) / total).alias("error")))
+    by_term = weighed.join(errors, key).groupBy("term", "class").agg(F.sum(F.col("weight") * F.col("error")).alias("g")).collect()
+    gradient = parts.weights / (c * n)
+    places = {t: i for i, t in enumerate(parts.terms)}
+    for row in by_term:  # at most classes x vocabulary
+        gradient[row["class"], places[row.term]] += row.g
+    intercepts = errors.groupBy("class").agg(F.sum("error").alias("g")).collect()
+    return float(max(np.abs(gradient).max(), *(abs(r.g) for r in intercepts)))
+
+
 def log_loss(model: PipelineModel, df: DataFrame, label: str = "label") -> float:
     """Validation log-loss."""
     return MulticlassClassificationEvaluator(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.operators import compression as cx
+from runestone.operators import training
 from runestone.operators.sampling import eval_sample, stratified_split
 from runestone.session import settle
 
@@ -79,3 +80,36 @@ def optimize(
     weights = cx.centroid_weights(split.filter(F.col("split") == "train"), values, label)
     sample = settle(eval_sample(split.filter(F.col("split") == "val").drop("split"), eval_rows, key))
     return compression_report(weights, sample, values, label, sparsity, timed)
+
+
+def compress_classifier(
+    fitted: training.Fitted,
+    validation: DataFrame,
+    label: str = "label",
+    text: str = "clean_text",
+    sparsity: float = settings.TARGET_SPARSITY,
+) -> tuple[DataFrame, dict[str, training.LinearText]]:
+    """Compress a trained classifier and serve every variant.
+
+    Returns ``(variant, metric, value)`` with size, reduction, accuracy, its drop and
+    documents per second (prediction only), and the variants, each ready for ``linear_scorer``.
+    """
+    spark, parts = validation.sparkSession, training.linear_parts(fitted.model)
+    rows = settle(validation.select(label, text))
+    documents = rows.count()
+    tables = variants(parts.table(spark), sparsity)
+    served = {name: parts.with_weights(table) for name, table in tables.items()}
+    whole, base, metrics = parts.weights.size * cx.BYTES["original"], None, []
+    for name, model in served.items():
+        size = model.weights.size * cx.BYTES[name]
+        predicted = training.probability_prediction(training.linear_scorer(model)(rows.withColumnRenamed(text, "clean_text")))
+        started = time.time()
+        accuracy = predicted.agg(F.avg((F.col("pred") == F.col(label)).cast("double"))).first()[0] or 0.0
+        seconds = max(1e-9, time.time() - started)
+        base = accuracy if base is None else base
+        found = {
+            "size_bytes": float(size), "size_reduction_pct": round(100.0 * (1.0 - size / whole), 1), "accuracy": round(accuracy, 4),
+            "accuracy_drop": round(base - accuracy, 4), "docs_per_sec": round(documents / seconds, 1),
+        }
+        metrics += [(name, metric, value) for metric, value in found.items()]
+    return spark.createDataFrame(metrics, "variant string, metric string, value double"), served
