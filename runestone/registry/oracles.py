@@ -191,7 +191,7 @@ SELECT round({accuracy_sql('pred')}, 4) AS classification_accuracy, round({f1_sq
 STANDARD = "SELECT doc_id, text, n_chars AS label, source AS label_text, lang AS language FROM documents"
 MAP = "(SELECT label_text, row_number() OVER (ORDER BY label_text) - 1 AS label FROM (SELECT DISTINCT source AS label_text FROM documents{where}))"
 
-ORACLES["standardize"] = f"{STANDARD} WHERE lang = 'en'"
+ORACLES["standardize"] = STANDARD
 ORACLES["union_languages"] = STANDARD
 ORACLES["label_map"] = f"SELECT label_text, label FROM {MAP.format(where='')}"
 ORACLES["label_map_en"] = f"SELECT label_text, label FROM {MAP.format(where=chr(32) + 'WHERE lang = ' + q('en'))}"
@@ -226,13 +226,6 @@ SELECT doc_id, label, {TAG_CASE} AS tag FROM (
 
 TOKEN = rf"[\p{{L}}\p{{M}}\p{{N}}]+|[^{WS}\p{{L}}\p{{M}}\p{{N}}]"
 TOKENS = f"regexp_extract_all(text, {q(TOKEN)})"
-ORACLES["merge_tags"] = f"""
-WITH t AS (SELECT doc_id, unnest({TOKENS}) AS tok, generate_subscripts({TOKENS}, 1) AS i FROM documents),
-f AS (SELECT doc_id, tok, min(i) AS i FROM t GROUP BY doc_id, tok
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY min(i)) <= 5),
-u AS (SELECT doc_id, tok FROM f UNION SELECT doc_id, lang FROM documents UNION SELECT doc_id, source FROM documents)
-SELECT doc_id, string_agg(tok, '|' ORDER BY tok) AS tags FROM u GROUP BY doc_id"""
-
 # --- samples -----------------------------------------------------------------
 
 ORACLES["stratified_sample"] = f"""
@@ -333,12 +326,15 @@ ds AS (SELECT doc_id, language, sum(n * score)::BIGINT AS score FROM dgc JOIN pr
 det AS (SELECT doc_id, language AS detected, score FROM ds
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, language) = 1)"""
 ORACLES["lang_profiles"] = f"WITH {PROFILE_CTES} SELECT language, gram, score FROM prof"
-ORACLES["detect_language"] = f"WITH {PROFILE_CTES} SELECT doc_id, detected, score FROM det"
+ORACLES["detect_language"] = f"WITH {PROFILE_CTES} SELECT doc_id, detected, score FROM documents LEFT JOIN det USING (doc_id)"
 ORACLES["route_language"] = """
 SELECT doc_id, lang AS language, CASE WHEN lang IN ('en', 'sv', 'fi') THEN lang ELSE 'en' END AS routed FROM documents"""
 DAMAGED = r"""CASE length(text) % 7 WHEN 0 THEN concat(' ', chr(9), chr(10))
   WHEN 1 THEN regexp_replace(text, '\p{L}', '', 'g') ELSE text END"""
 STATUS = rf"""CASE WHEN {strip('text')} = '' THEN 'blank' WHEN NOT regexp_matches(text, '\p{{L}}') THEN 'no_letters' ELSE 'ok' END"""
+ORACLES["detect_saved_profiles"] = f"""WITH {PROFILE_CTES}
+SELECT doc_id, CASE WHEN length(text) % 7 > 1 THEN detected END AS detected, CASE WHEN length(text) % 7 > 1 THEN score END AS score
+FROM documents LEFT JOIN det USING (doc_id)"""
 ORACLES["detect_status"] = f"SELECT doc_id, {STATUS} AS status FROM (SELECT doc_id, {DAMAGED} AS text FROM documents)"
 
 # --- tokens ------------------------------------------------------------------
@@ -366,9 +362,8 @@ v AS (SELECT piece, k, n FROM c WHERE k = 1
 
 
 ORACLES["subword_vocab"] = f"WITH {pieces_sql('documents')} SELECT piece, n FROM v"
-GERMAN = "(SELECT * FROM documents WHERE lang = 'de')"
 # Every character of a token is in its vocabulary, so each step finds a piece.
-ENCODED = f"""{pieces_sql(GERMAN)},
+ENCODED = f"""{pieces_sql('documents')},
 enc AS (
   SELECT tok, 1 AS pos, '' AS pieces, 0 AS used FROM w
   UNION ALL
@@ -383,7 +378,7 @@ sw AS (SELECT doc_id, sum(used)::BIGINT AS n_tokens, substr(string_agg(pieces, '
 ORACLES["subword_tokens"] = f"WITH RECURSIVE {ENCODED} SELECT doc_id, n_tokens, tokens FROM sw"
 ORACLES["route_tokens"] = f"""
 WITH RECURSIVE {ENCODED}
-SELECT doc_id, 'de' AS language, n_tokens, tokens FROM sw
+SELECT doc_id, 'de' AS language, n_tokens, tokens FROM sw JOIN documents USING (doc_id) WHERE lang = 'de'
 UNION ALL SELECT doc_id, lang, len({TOKENS}), array_to_string({TOKENS}, '|') FROM documents WHERE lang <> 'de'"""
 
 # --- tags --------------------------------------------------------------------
@@ -399,8 +394,9 @@ SURFACES = (
 )
 
 
-def mention_ctes(source: str) -> str:
-    """CTEs from ``doc_id, text, language`` to mentions, entities, keywords and tags."""
+def mention_ctes(source: str, mentions: str | None = None) -> str:
+    """CTEs from ``doc_id, text, language`` to mentions (or those of the CTE ``men`` given),
+    entities, keywords and tags."""
     cases = " ".join(
         f"WHEN language = {q(lang)} THEN list_contains({strings(ws)}, word)"
         for lang, ws in settings.STOP_WORDS.items() if lang != settings.DEFAULT_LANGUAGE
@@ -410,8 +406,7 @@ def mention_ctes(source: str) -> str:
         f"list_transform(list_filter({TOKENS}, lambda x: length(x) >= {settings.MIN_KEYWORD_LENGTH} "
         r"AND regexp_full_match(x, '\p{L}+')), lambda x: lower(x))"
     )
-    return rf"""
-src AS (SELECT doc_id, text, language FROM {source}),
+    found = rf"""
 gaz AS (SELECT lower(n_name) AS name, 'GPE' AS listed FROM nation UNION SELECT lower(r_name), 'LOC' FROM region),
 sf AS (SELECT doc_id, unnest({SURFACES}) AS surface, generate_subscripts({SURFACES}, 1) - 1 AS pos FROM src),
 men AS (SELECT * FROM (SELECT doc_id, pos, surface AS text, coalesce(listed, CASE
@@ -422,6 +417,10 @@ men AS (SELECT * FROM (SELECT doc_id, pos, surface AS text, coalesce(listed, CAS
       WHEN regexp_matches(left(surface, 1), '[0-9]') THEN 'CARDINAL'
       WHEN contains(surface, ' ') THEN 'MISC' END) AS label
     FROM sf LEFT JOIN gaz ON gaz.name = lower(surface)) WHERE label IS NOT NULL),
+"""
+    return rf"""
+src AS (SELECT doc_id, text, language FROM {source}),
+{(mentions or found).strip().rstrip(',')},
 lab AS (SELECT doc_id, text, label, count(*) AS n, min(pos) AS first FROM men GROUP BY doc_id, text, label),
 ent0 AS (SELECT doc_id, text, arg_max(label, row(n, -first)) AS label, sum(n)::BIGINT AS mentions, min(first) AS first
   FROM lab GROUP BY doc_id, text),
@@ -458,6 +457,7 @@ FROM e"""
 ORACLES["entity_tags"] = f"WITH {TAGGED} SELECT doc_id, entity_tags FROM rec"
 ORACLES["keyword_candidates"] = f"WITH {TAGGED} SELECT doc_id, word, n, first FROM kc"
 ORACLES["top_keywords"] = f"WITH {TAGGED} SELECT doc_id, rank, word FROM kw"
+ORACLES["merge_tags"] = f"WITH {TAGGED} SELECT doc_id, tags FROM rec"
 ORACLES["tag_documents"] = f"WITH {TAGGED} SELECT doc_id, entities, entity_tags, keywords, tags FROM rec"
 ORACLES["tag_counts_doc"] = f"WITH {TAGGED} SELECT doc_id, tag, count(*) AS n FROM occ GROUP BY doc_id, tag"
 ORACLES["tag_counts_all"] = f"WITH {TAGGED} SELECT tag, count(*) AS n FROM occ GROUP BY tag"
@@ -490,10 +490,11 @@ ORACLES["score_plugin"] = """
 SELECT doc_id, category_id, CASE WHEN length(text) % 4 = category_id THEN 0.9::DOUBLE ELSE 0.0::DOUBLE END AS probability
 FROM documents CROSS JOIN (SELECT unnest(range(0, 4)) AS category_id)"""
 PROBABILITIES = """
-z AS (SELECT vec_id, label, i - 1 AS class, embedding[i]::DOUBLE * 20.0::DOUBLE AS x
-  FROM embeddings CROSS JOIN (SELECT unnest(range(1, 11)) AS i)),
+v AS (SELECT vec_id, label, i AS pos, embedding[i]::DOUBLE AS x FROM embeddings CROSS JOIN (SELECT unnest(range(1, 65)) AS i)),
+mn AS (SELECT label AS class, pos, round(avg(x), 6) AS mean FROM v GROUP BY label, pos),
+z AS (SELECT vec_id, v.label, class, 20.0::DOUBLE * sum(mean * x) AS x FROM v JOIN mn USING (pos) GROUP BY vec_id, v.label, class),
 ex AS (SELECT vec_id, label, class, exp(x - max(x) OVER (PARTITION BY vec_id)) AS e FROM z),
-pr AS (SELECT vec_id, label, class, round(e / sum(e) OVER (PARTITION BY vec_id), 9) AS p FROM ex)"""
+pr AS (SELECT vec_id, label, class, round(e / sum(e) OVER (PARTITION BY vec_id), 7) AS p FROM ex)"""
 ORACLES["softmax"] = f"WITH {PROBABILITIES} SELECT vec_id, class AS category_id, p AS probability FROM pr"
 ORACLES["low_confidence"] = f"""
 WITH {PROBABILITIES} SELECT vec_id, round(max(p), 4) AS confidence FROM pr GROUP BY vec_id HAVING round(max(p), 4) < 0.5"""
@@ -526,22 +527,24 @@ SELECT class::VARCHAR AS class, round(auc, 6) AS auc FROM a UNION ALL SELECT 'ma
 # --- scoring -----------------------------------------------------------------
 
 
-def scores_sql(source: str, before: str = "", named: bool = False) -> str:
+def scores_sql(source: str, before: str = "", named: bool = False, tagging: str | None = None, more: str = "") -> str:
     """The scored record of ``doc_id, text, language``; class is length(clean) % 20."""
     name = (
         f"coalesce((SELECT label_text FROM {MAP.format(where='')} m WHERE m.label = {{0}}), ({{0}})::VARCHAR)"
         if named else "({0})::VARCHAR"
     )
-    first, second, third = "hit", "CASE WHEN hit = 0 THEN 1 ELSE 0 END", "CASE WHEN hit <= 1 THEN 2 ELSE 1 END"
-    top = ", ".join(name.format(c) for c in (first, second, third))
+    # The class hit has at least 0.3, the one after it 0.25, and the lowest of the others comes third.
+    second = "(hit + 1) % 20"
+    third = "CASE hit WHEN 0 THEN 2 WHEN 19 THEN 1 ELSE 0 END"
+    top = ", ".join(name.format(c) for c in ("hit", second, third))
     clean = sanitize_sql("coalesce(text, '')")
     return f"""WITH {before}
 raw AS (SELECT doc_id, text AS raw_text, {clean} AS text, language FROM {source}),
-{mention_ctes('raw').strip()},
-sc AS (SELECT doc_id, length(text) % 20 AS hit, CASE WHEN {strip('raw_text')} = '' THEN 'blank' ELSE 'ok' END AS status
-  FROM raw)
-SELECT doc_id, status, language, {name.format('hit')} AS category, hit AS category_id, 0.9::DOUBLE AS confidence,
-  false AS low_confidence, concat_ws('|', {top}) AS top_categories, tags, keywords, entities
+{(tagging or mention_ctes('raw')).strip()},
+sc AS (SELECT doc_id, text, length(text) % 20 AS hit, round((3 + length(text) % 7) / 10.0::DOUBLE, 4) AS confidence,
+    CASE WHEN {strip('raw_text')} = '' THEN 'blank' ELSE 'ok' END AS status FROM raw)
+SELECT doc_id, status, language, {name.format('hit')} AS category, hit AS category_id, confidence,
+  confidence < 0.5 AS low_confidence, concat_ws('|', {top}) AS top_categories, tags, keywords, entities{more}
 FROM sc JOIN rec USING (doc_id)"""
 
 
@@ -550,14 +553,26 @@ DETECTED = (
 )
 ORACLES["score_batch"] = scores_sql(DETECTED, PROFILE_CTES.strip() + ",", named=True)
 ORACLES["score_known_language"] = scores_sql(DOCS)
+UPPER_CLEAN = (
+    f"list_filter(regexp_extract_all(text, {q(f'[^{WS}]+')}), lambda x: length(x) > 1 AND upper(x) = x AND lower(x) <> x)"
+)
+ORACLES["score_annotated"] = scores_sql(
+    DOCS, tagging=mention_ctes("raw", f"""
+men AS (SELECT doc_id, generate_subscripts({UPPER_CLEAN}, 1) - 1 AS pos, unnest({UPPER_CLEAN}) AS text, 'ORG' AS label
+  FROM src WHERE length(text) % 3 <> 0)"""),
+    more=", CASE WHEN length(text) % 3 = 0 THEN 'ValueError: cannot annotate' END AS error",
+)
+ORACLES["stream_detect"] = scores_sql(ROUTED, PROFILE_CTES.strip() + ",")
 ORACLES["stream_score"] = ORACLES["score_known_language"]
 CLEAN_TAGGED = f"""
 raw AS (SELECT doc_id, {sanitize_sql('text')} AS text, lang AS language FROM documents),
 {mention_ctes('raw').strip()}"""
 ORACLES["stream_tag_counts"] = f"WITH {CLEAN_TAGGED} SELECT tag, count(*) AS n FROM occ GROUP BY tag"
-ORACLES["stream_monitor"] = """
-SELECT lang AS language, count(*) AS documents, 0.9::DOUBLE AS mean_confidence, 0::BIGINT AS low_confidence
-FROM documents GROUP BY lang"""
+ORACLES["stream_monitor"] = f"""
+WITH raw AS (SELECT lang AS language, {sanitize_sql("coalesce(text, '')")} AS text FROM documents)
+SELECT language, count(*) AS documents, round(avg(confidence), 6) AS mean_confidence,
+  count(*) FILTER (confidence < 0.5) AS low_confidence
+FROM (SELECT language, (3 + length(text) % 7) / 10.0::DOUBLE AS confidence FROM raw) GROUP BY language"""
 
 # --- compression -------------------------------------------------------------
 
@@ -597,7 +612,7 @@ ORACLES["int8_vectors"] = f"""
 WITH {ENTRIES}, s AS (SELECT *, max(abs(w)) OVER (PARTITION BY vec_id)::DOUBLE / 127.0::DOUBLE AS scale FROM e)
 SELECT vec_id::VARCHAR AS tensor, idx, CASE WHEN scale > 0 THEN round_even(w::DOUBLE / scale, 0)::BIGINT ELSE 0 END AS code FROM s"""
 ORACLES["artifact_size"] = """
-SELECT variant, sum(len(embedding))::BIGINT AS params, round(sum(len(embedding)) * bytes / 1048576.0::DOUBLE, 2) AS size_mb
+SELECT variant, sum(len(embedding))::BIGINT AS params, round(sum(len(embedding)) * bytes / 1000000.0::DOUBLE, 2) AS size_mb
 FROM embeddings CROSS JOIN (VALUES ('original', 4), ('pruned', 4), ('fp16', 2), ('int8', 1)) v(variant, bytes)
 GROUP BY variant, bytes"""
 HALF = half_sql("w")
@@ -640,3 +655,17 @@ raw AS (SELECT doc_id, text AS raw_text, {sanitize_sql('text')} AS text, lang AS
                              'FROM nation WHERE false').strip()}
 SELECT doc_id, CASE WHEN {strip('raw_text')} = '' THEN 'blank' ELSE 'ok' END AS status,
   (SELECT count(*) FROM tg WHERE tg.doc_id = raw.doc_id) AS n_tags FROM raw"""
+
+# --- trained models: facts that hold for any right fit ------------------------
+
+QUALITY = f"""(SELECT doc_id, label, clean_text FROM (
+  SELECT doc_id, quality AS label, {sanitize_sql("coalesce(text, '')")} AS clean_text FROM documents JOIN labels USING (doc_id))
+  WHERE {words('clean_text')} >= 1)"""
+VALIDATION = f"(SELECT * FROM {split_sql(QUALITY, 'label')} WHERE split = 'val')"
+ORACLES["baseline_gradient"] = "SELECT true AS stopped, true AS flat, count(DISTINCT quality) AS classes FROM labels"
+ORACLES["baseline_proba_equal"] = f"""
+SELECT doc_id, category_id, true AS equal FROM {VALIDATION} CROSS JOIN (SELECT unnest(range(0, 2)) AS category_id)"""
+ORACLES["training_history_falls"] = "SELECT true AS moved, true AS falls"
+ORACLES["select_model_kept"] = """
+SELECT unnest(range(0, 2)) AS candidate, true AS kept_is_best, true AS best_is_returned"""
+ORACLES["model_roundtrip"] = f"SELECT doc_id, true AS equal FROM {VALIDATION}"

@@ -34,7 +34,6 @@ QUERIES: dict[str, Query] = {}
 LANGUAGES = ["de", "en", "es", "fr"]
 SUBWORD_LANGUAGES = ["de"]
 LOGIT_SCALE = 20.0
-CLASSES = 10
 
 
 def query(function: Query) -> Query:
@@ -94,10 +93,19 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def probabilities(spark: SparkSession, sf: str) -> DataFrame:
-    """Softmax of the first ten dimensions as class scores."""
-    logits = F.transform(F.slice("embedding", 1, CLASSES), lambda x: x.cast("double") * LOGIT_SCALE)
-    p = F.transform(ax.softmax(logits), lambda x: F.round(x, 9))
-    return vectors(spark, sf).select("vec_id", "label", p.alias("probability"))
+    """Softmax over the labels of the dot products of a whole vector with the label means."""
+    rows = vectors(spark, sf)
+    means = rows.select("label", F.posexplode("embedding").alias("at", "x")).groupBy("label", "at").agg(
+        F.round(F.avg(F.col("x").cast("double")), 6).alias("mean"))
+    classes = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("at", "mean"))).alias("entries"))
+    # One row: the ten labels and 64 dimensions of the table.
+    packed = classes.agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("label", "entries"))), lambda c: c["entries"]["mean"]).alias("_classes"))
+    logits = F.transform("_classes", lambda c: LOGIT_SCALE * F.aggregate(
+        F.zip_with(c, "embedding", lambda w, x: w * x.cast("double")), F.lit(0.0), lambda acc, x: acc + x))
+    p = F.transform(ax.softmax(logits), lambda x: F.round(x, 7))
+    return rows.select("vec_id", "label", "embedding", settle(packed).scalar().alias("_classes")).select(
+        "vec_id", "label", p.alias("probability"))
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,8 +189,8 @@ def performance_report(spark, sf):
 
 @query
 def standardize(spark, sf):
-    raw = spark.read.parquet(f"{sf}/documents.parquet").filter(F.col("lang") == "en")
-    return labels.standardize(raw, "text", "n_chars", "source", "en", "doc_id")
+    raw = spark.read.parquet(f"{sf}/documents.parquet")
+    return labels.standardize(raw, "text", "n_chars", "source", F.col("lang"), "doc_id")
 
 
 @query
@@ -393,10 +401,8 @@ def normalize_entity_label(spark, sf):
 
 @query
 def merge_tags(spark, sf):
-    rows = documents(spark, sf).select(
-        "doc_id", F.array("language", "label_text").alias("a"),
-        F.slice(F.array_distinct(tk.word_tokens(F.col("text"))), 1, 5).alias("b"))
-    return rows.select("doc_id", joined(tagging.merge_tags(F.col("a"), F.col("b"))).alias("tags"))
+    rows = _tagged(spark, sf)
+    return rows.select("doc_id", joined(tagging.merge_tags(F.col("entity_tags"), F.col("keywords"))).alias("tags"))
 
 
 # --- profiles ----------------------------------------------------------------
@@ -469,6 +475,16 @@ def detect_language(spark, sf):
     return language.detect(rows, language.fit_profiles(rows)).select("doc_id", "detected", "score")
 
 
+@query
+def detect_saved_profiles(spark, sf):
+    """Damaged texts against a profile that was written and read again; every row is returned."""
+    rows = documents(spark, sf)
+    path = fresh_dir(spark, "profiles")
+    language.save_profiles(language.fit_profiles(rows), path)
+    damaged = rows.withColumn("text", _damaged(F.col("text")))
+    return language.detect(damaged, language.load_profiles(spark, path)).select("doc_id", "detected", "score")
+
+
 @query
 def route_language(spark, sf):
     return light_documents(spark, sf).select(
@@ -510,14 +526,12 @@ def subword_vocab(spark, sf):
 
 
 def _encoder(spark, sf):
-    listed = documents(spark, sf).filter(F.col("language").isin(SUBWORD_LANGUAGES))
-    return subwords.subword_encoder(subwords.learn_subwords(listed))
+    return subwords.subword_encoder(subwords.learn_subwords(documents(spark, sf)))
 
 
 @query
 def subword_tokens(spark, sf):
-    rows = documents(spark, sf).filter(F.col("language").isin(SUBWORD_LANGUAGES))
-    rows = rows.withColumn("t", subwords.subword_tokens(F.col("text"), _encoder(spark, sf)))
+    rows = documents(spark, sf).withColumn("t", subwords.subword_tokens(F.col("text"), _encoder(spark, sf)))
     return rows.select("doc_id", F.size("t").alias("n_tokens"), joined(F.col("t")).alias("tokens"))
 
 
@@ -638,85 +652,122 @@ def class_weights(spark, sf):
     return features.class_weights(light_documents(spark, sf), "language").withColumn("weight", F.round("weight", 6))
 
 
-# Fits that several queries look at, per session and folder.
-_FITTED: dict[tuple, object] = {}
+def _quality_split(spark, sf):
+    """The documents with a quality label (low or high, whatever their language), cleaned and split."""
+    quality = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("quality").cast("int").alias("label"))
+    return settle(training_job.clean_split(documents(spark, sf).join(quality, "doc_id")))
 
 
-def _labelled_split(spark, sf):
-    names = F.array(*[F.lit(lang) for lang in LANGUAGES])
-    label = (F.array_position(names, F.col("language")) - 1).cast("int")
-    return settle(training_job.clean_split(documents(spark, sf).withColumn("label", label)))
+def _parts(split):
+    return [split.filter(F.col("split") == name) for name in ("train", "val")]
 
 
-def _fitted(spark, sf, kind):
-    key = (spark.sparkContext.applicationId, sf, kind)
-    if key not in _FITTED:
-        if kind == "split":
-            _FITTED[key] = _labelled_split(spark, sf)
-        else:
-            train = _fitted(spark, sf, "split").filter(F.col("split") == "train")
-            fit = {"baseline": training.train_baseline, "challenger": training.train_challenger}[kind]
-            _FITTED[key] = fit(train, max_iter=100)
-    return _FITTED[key]
-
-
-def _validation(spark, sf):
-    return _fitted(spark, sf, "split").filter(F.col("split") == "val")
-
-
-def _metrics(spark, sf, kind):
-    scored = settle(training.score(_fitted(spark, sf, kind).model, _validation(spark, sf), ["label"]))
+def _metrics(fitted, validation):
+    scored = settle(training.score(fitted.model, validation, ["label"]))
     return evaluation.evaluate(scored, probabilities="probability")
 
 
 @query
 def baseline_train(spark, sf):
-    return _metrics(spark, sf, "baseline")
+    train, validation = _parts(_quality_split(spark, sf))
+    return _metrics(training.train_baseline(train), validation)
 
 
 @query
 def baseline_predict(spark, sf):
-    return training.score(_fitted(spark, sf, "baseline").model, _validation(spark, sf), ["doc_id", "label"]).drop(
-        "probability")
+    train, validation = _parts(_quality_split(spark, sf))
+    return training.score(training.train_baseline(train).model, validation, ["doc_id", "label"]).drop("probability")
 
 
 @query
 def baseline_proba(spark, sf):
-    scored = training.score(_fitted(spark, sf, "baseline").model, _validation(spark, sf), ["doc_id"])
+    train, validation = _parts(_quality_split(spark, sf))
+    scored = training.score(training.train_baseline(train).model, validation, ["doc_id"])
     return scored.select("doc_id", F.posexplode("probability").alias("category_id", "probability"))
 
 
+@query
+def baseline_gradient(spark, sf):
+    """Whether the fit stopped by itself, at a point where the objective's gradient is near zero."""
+    train, _ = _parts(_quality_split(spark, sf))
+    fitted = training.train_baseline(train)
+    gradient = training.largest_gradient(fitted, train)
+    return spark.range(1).select(
+        F.lit(len(fitted.losses) <= 1000).alias("stopped"), F.lit(gradient < 2e-3).alias("flat"),
+        F.lit(len(training.linear_parts(fitted.model).weights)).alias("classes"))
+
+
+@query
+def baseline_proba_equal(spark, sf):
+    """Probabilities of Spark ML against the same weights applied to TF-IDF vectors by hand."""
+    train, validation = _parts(_quality_split(spark, sf))
+    model = training.train_baseline(train).model
+    scored = training.linear_probabilities(
+        training.score(model, validation, ["doc_id", "clean_text"]), training.linear_parts(model), into="other")
+    both = scored.select("doc_id", F.posexplode(F.arrays_zip("probability", "other")).alias("category_id", "p"))
+    return both.select("doc_id", "category_id", (F.abs(F.col("p.probability") - F.col("p.other")) < 1e-9).alias("equal"))
+
+
 @query
 def training_history(spark, sf):
-    return _fitted(spark, sf, "baseline").history(spark)
+    train, _ = _parts(_quality_split(spark, sf))
+    return training.train_baseline(train).history(spark)
+
+
+@query
+def training_history_falls(spark, sf):
+    train, _ = _parts(_quality_split(spark, sf))
+    losses = training.train_baseline(train).losses
+    rows = list(zip(losses, losses[1:]))
+    return spark.range(1).select(
+        F.lit(len(rows) > 1).alias("moved"), F.lit(all(after <= before + 1e-9 for before, after in rows)).alias("falls"))
 
 
 @query
 def challenger_train(spark, sf):
-    return _metrics(spark, sf, "challenger")
+    train, validation = _parts(_quality_split(spark, sf))
+    return _metrics(training.train_challenger(train), validation)
+
+
+CANDIDATES = [{"c": 0.1}, {"c": 1.0}]
 
 
 @query
 def select_model(spark, sf):
-    train = _fitted(spark, sf, "split").filter(F.col("split") == "train")
-    _, report = training.select_model(
-        train, _validation(spark, sf), [{"c": 0.1, "max_iter": 50}, {"c": 1.0, "max_iter": 50}],
-        fresh_dir(spark, "model"))
+    train, validation = _parts(_quality_split(spark, sf))
+    _, report = training.select_model(train, validation, CANDIDATES, fresh_dir(spark, "model"))
     return report
 
 
+@query
+def select_model_kept(spark, sf):
+    """The kept candidate has the smallest loss, and the model that is returned has just that loss."""
+    train, validation = _parts(_quality_split(spark, sf))
+    model, report = training.select_model(train, validation, CANDIDATES, fresh_dir(spark, "model"))
+    scored = training.score(model, validation, ["label"])
+    loss = scored.agg(F.avg(-F.log(F.greatest(F.get("probability", F.col("label")), F.lit(1e-15))))).first()[0]
+    smallest = report.agg(F.min("val_loss")).first()[0]
+    return report.select(
+        "candidate", (F.col("kept") == (F.col("val_loss") == smallest)).alias("kept_is_best"),
+        F.lit(abs(loss - smallest) < 1e-6).alias("best_is_returned"))
+
+
 @query
 def model_roundtrip(spark, sf):
+    """Per document, whether the model read back predicts what the saved one does."""
+    train, validation = _parts(_quality_split(spark, sf))
+    model = training.train_baseline(train).model
     path = fresh_dir(spark, "variants")
-    _fitted(spark, sf, "baseline").model.write().overwrite().save(f"{path}/baseline")
-    model = training.load_model(path, "baseline")
-    return training.score(model, _validation(spark, sf), ["doc_id"]).drop("probability")
+    model.write().overwrite().save(f"{path}/baseline")
+    kept = training.score(model, validation, ["doc_id"])
+    again = training.score(training.load_model(path, "baseline"), validation, ["doc_id"])
+    return kept.join(again.select("doc_id", F.col("pred").alias("_pred"), F.col("probability").alias("_p")), "doc_id").select(
+        "doc_id", ((F.col("pred") == F.col("_pred")) & (F.col("probability") == F.col("_p"))).alias("equal"))
 
 
 @query
 def train_report(spark, sf):
-    parts = training_job.train_report(
-        _fitted(spark, sf, "split"), fresh_dir(spark, "best"), challenger_candidates=[{"max_iter": 30}], max_iter=30)
+    parts = training_job.train_report(_quality_split(spark, sf), fresh_dir(spark, "best"))
     return parts["report"].select(
         "classification_accuracy", "f1_score_macro", "processing_speed_docs_per_sec",
         F.array_join("languages_supported", ",").alias("languages_supported"),
@@ -725,7 +776,13 @@ def train_report(spark, sf):
 
 @query
 def cross_validate(spark, sf):
-    return training.cross_validate(_fitted(spark, sf, "split"), max_iter=20)
+    return training.cross_validate(_quality_split(spark, sf))
+
+
+@query
+def compress_classifier(spark, sf):
+    train, validation = _parts(_quality_split(spark, sf))
+    return compression_job.compress_classifier(training.train_baseline(train), validation)[0]
 
 
 def _length_model(classes: int):
@@ -790,12 +847,12 @@ def lift_over_baseline(spark, sf):
 
 # --- scoring -----------------------------------------------------------------
 
-def flat_scores(scored: DataFrame) -> DataFrame:
+def flat_scores(scored: DataFrame, *more: str) -> DataFrame:
     return scored.select(
         "doc_id", "status", "language", "category", "category_id", "confidence", "low_confidence",
         joined(F.transform("top_categories", lambda t: t["category"])).alias("top_categories"),
         joined(F.col("tags")).alias("tags"), joined(F.col("keywords")).alias("keywords"),
-        entity_text(F.col("entities")).alias("entities"),
+        entity_text(F.col("entities")).alias("entities"), *more,
     )
 
 
@@ -816,6 +873,35 @@ def score_known_language(spark, sf):
     return flat_scores(scored)
 
 
+@query
+def score_trained(spark, sf):
+    """The flagship on a fitted model: quality as the category."""
+    train, _ = _parts(_quality_split(spark, sf))
+    names = spark.createDataFrame([(0, "low"), (1, "high")], "label int, label_text string")
+    scored = scoring.score_batch(
+        documents(spark, sf), scoring.pipeline_scorer(training.train_baseline(train).model), names, None,
+        gazetteer(spark, sf), supported=LANGUAGES)
+    return flat_scores(scored)
+
+
+def _shouts(fails: int):
+    """An annotator of words in capitals that fails on every ``fails``-th length of text."""
+    def load():
+        def annotator(text, lang):
+            if len(text) % fails == 0:
+                raise ValueError("cannot annotate")
+            return [(word, "ORG") for word in text.split() if word.isupper() and len(word) > 1]
+        return annotator
+
+    return load
+
+
+@query
+def score_annotated(spark, sf):
+    scored = scoring.score_batch(documents(spark, sf), scoring.length_scorer(20), annotate=_shouts(3), supported=LANGUAGES)
+    return flat_scores(scored, "error")
+
+
 @query
 def score_blank_status(spark, sf):
     rows = documents(spark, sf).withColumn("text", _damaged(F.col("text")))
@@ -910,12 +996,14 @@ def optimize_weights(spark, sf):
 STREAM_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def _score_stream(spark, sf):
+def _score_stream(spark, sf, profiles=None):
     # As a glob the path may be a table's folder or a single file.
     arrived = live.document_stream(spark, f"{sf}/documents.parque[t]", STREAM_SCHEMA)
-    rows = arrived.select("doc_id", "text", F.col("lang").alias("language"))
+    given = F.col("lang") if profiles is None else F.when(F.length("text") % 2 == 0, F.col("lang"))
+    rows = arrived.select("doc_id", "text", given.alias("language"))
     return live.score_stream(
-        rows, scoring.length_scorer(20), gazetteer=gazetteer(spark, sf), supported=LANGUAGES)
+        rows, scoring.length_scorer(20), partitions=spark.sparkContext.defaultParallelism, gazetteer=gazetteer(spark, sf),
+        profiles=profiles, supported=LANGUAGES)
 
 
 @query
@@ -925,6 +1013,15 @@ def stream_score(spark, sf):
     return flat_scores(spark.read.parquet(path))
 
 
+@query
+def stream_detect(spark, sf):
+    """Half of the documents arrive without a language."""
+    path = fresh_dir(spark, "scored")
+    profiles = language.fit_profiles(documents(spark, sf))
+    live.append_to(_score_stream(spark, sf, profiles), path, fresh_dir(spark, "progress")).awaitTermination()
+    return flat_scores(spark.read.parquet(path))
+
+
 @query
 def stream_tag_counts(spark, sf):
     path = fresh_dir(spark, "tags")

@@ -193,7 +193,9 @@ def length_model(classes):
         def predict(texts):
             matrix = np.zeros((len(texts), classes))
             for i, t in enumerate(texts):
-                matrix[i, len(t) % classes] = 0.9
+                n = len(t)
+                matrix[i, (n + 1) % classes] = 0.25
+                matrix[i, n % classes] = (3 + n % 7) / 10
             return matrix
         return predict
     return load
@@ -215,7 +217,8 @@ def test_score_batch(batch):
     for key, text, lang in BATCH:
         clean = (text or "").strip()
         r = rows[key]
-        assert r.category_id == len(clean) % 3 and r.confidence == 0.9 and not r.low_confidence
+        assert r.category_id == len(clean) % 3 and r.confidence == (3 + len(clean) % 7) / 10
+        assert r.low_confidence == (r.confidence < 0.5)
         assert r.category == ["finance", "sports", "health"][r.category_id] == r.top_categories[0].category
         assert len(r.top_categories) == 3 and r.language == (lang or "en")
         assert r.status == ("ok" if clean else "blank")
@@ -242,6 +245,31 @@ def test_unknown_names_are_numbers_and_blanks_raise_when_strict(spark, batch):
             scoring.score_one(spark, blank, None, scoring.length_scorer(3))
 
 
+def test_names_are_one_per_id(spark, batch):
+    """Two names for an id: the first in order. Ids far apart cost as much as their number."""
+    df, _ = batch
+    names = spark.createDataFrame([(0, "b"), (0, "a"), (2, "x"), (3_000_000, "far"), (None, "n"), (1, None)], "label int, label_text string")
+    got = {r.category_id: r.category for r in scoring.score_batch(df, scoring.length_scorer(3), names).collect()}
+    assert got == {k: {0: "a", 1: "1", 2: "x"}[k] for k in got}
+    with pytest.raises(ValueError, match="names"):
+        scoring.category_names(names, max_bytes=3)
+
+
+def test_annotator_in_scoring(batch):
+    df, names = batch
+
+    def load():
+        def annotator(text, language):
+            if language == "sv":
+                raise ValueError("no model")
+            return [(text.split()[0], "ORG")] if text else []
+        return annotator
+
+    rows = {r.doc_id: r for r in scoring.score_batch(df, scoring.length_scorer(3), names, annotate=load).collect()}
+    assert rows[2].error == "ValueError: no model" and rows[2].entities == [] and rows[2].category is not None
+    assert rows[1].error is None and [e.text for e in rows[1].entities] == ["Stocks"] and "organization" in rows[1].tags
+
+
 def test_benchmark(batch):
     df, names = batch
     got = scoring.benchmark(scoring.score_batch(df, scoring.length_scorer(3), names)).first()
@@ -321,3 +349,6 @@ def test_sizes_and_report(spark):
     path = fresh_dir(spark, "weights")
     weights.write.parquet(path)
     assert compression.stored_size(spark, path).first().size_mb >= 0.0
+    assert compression.stored_size(spark, path + "-missing").first().size_mb == 0.0
+    many = spark.range(25).select(F.lit("t").alias("tensor"), F.array_repeat(F.lit(1.0).cast("float"), 10_000).alias("values"))
+    assert compression.artifact_size(many).first().size_mb == 1.0

@@ -24,18 +24,18 @@ def run(spark, cleaners, *texts):
 
 
 @pytest.mark.parametrize("cleaners, text, expected", [
-    ([tx.strip_tags, tx.strip_edges], "<div>Hello <br>World</div>", "Hello  World"),
+    ([tx.strip_tags, tx.strip_edges], "<h2>Tide <hr>tables</h2>", "Tide  tables"),
     ([tx.strip_tags], "a < b and <unclosed", "a < b and <unclosed"),
     ([tx.strip_tags], "<>x<a\nb>y<", "<>x y<"),
-    ([tx.strip_artifacts], "Contact us at admin@example.ax or visit https://example.com today.",
-     "Contact us at   or visit   today."),
-    ([tx.normalize_nfkc], f"Taloissani on a{RING}", "Taloissani on \N{LATIN SMALL LETTER A WITH RING ABOVE}"),
+    ([tx.strip_artifacts], "Letters go to desk@harbour.example, maps are at http://harbour.example/m?x=1 now.",
+     "Letters go to  , maps are at   now."),
+    ([tx.normalize_nfkc], f"Bla{RING} dorr", "Bl\N{LATIN SMALL LETTER A WITH RING ABOVE} dorr"),
     ([tx.normalize_nfc], f"a{RING} \N{LATIN SMALL LIGATURE FI}",
      "\N{LATIN SMALL LETTER A WITH RING ABOVE} \N{LATIN SMALL LIGATURE FI}"),
-    ([tx.collapse_whitespace], "   This   has   too    much   space.   ", "This has too much space."),
+    ([tx.collapse_whitespace], "  wide   gaps in     between  ", "wide gaps in between"),
     ([tx.collapse_whitespace], "one\ttab\nkept  gone", "one\ttab\nkept gone"),
     ([tx.strip_tags, tx.strip_artifacts, tx.normalize_nfkc, tx.collapse_whitespace],
-     f"<p>  Visit https://site.com/a{RING}   for info! </p>", "Visit for info!"),
+     f"<td> Boats  leave www.quay.example/a{RING}  at noon </td>", "Boats leave at noon"),
     ([tx.strip_signature], "body\n-- \nname\nphone", "body\n "),
     ([tx.strip_signature], "body\n--\nname", "body\n "),
     ([tx.strip_signature], "body\n--- not\n-- x", "body\n--- not\n-- x"),
