@@ -46,6 +46,8 @@ SPAN = 24
 BINS = 64
 # Code points that are hashed at a time.
 BLOCK = 1 << 20
+# So many products of a code point and a power add up within 64 bits.
+SHORT = 1 << 11
 # Bytes of text per range.
 RANGE_BYTES = 64 << 20
 
@@ -69,6 +71,7 @@ class Powers:
 
 
 _POWERS = tuple(Powers(b, p) for b, p in zip(BASES, PRIMES, strict=True))
+_INVERSES = tuple(Powers(pow(b, -1, p), p) for b, p in zip(BASES, PRIMES, strict=True))
 
 
 def code_points(text: bytes) -> np.ndarray:
@@ -78,7 +81,9 @@ def code_points(text: bytes) -> np.ndarray:
 def block_prefixes(points: np.ndarray, which: int) -> np.ndarray:
     """Prefix hashes of one block: entry n is the hash of the first n code points."""
     prime = _POWERS[which].prime
-    terms = (points.astype(np.uint64) + np.uint64(1)) * _POWERS[which].upto(len(points)) % prime
+    terms = (points.astype(np.uint64) + np.uint64(1)) * _POWERS[which].upto(len(points))
+    if len(points) > SHORT:
+        terms %= prime
     return np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64) % prime])
 
 
@@ -119,11 +124,20 @@ class PrefixHashes:
         return low
 
 
+# Lengths, ``STEPS`` to a doubling, beyond the length of any text.
+_GRID = np.unique(np.floor(2.0 ** (np.arange(40 * STEPS + 1) / STEPS)).astype(np.int64))
+
+
 def grid(n: int) -> np.ndarray:
     """Lengths 1..n, ``STEPS`` to a doubling."""
-    steps = np.arange(0, STEPS * max(1, int(n).bit_length()) + 1)
-    lengths = np.unique(np.floor(2.0 ** (steps / STEPS)).astype(np.int64))
-    return lengths[lengths <= n]
+    return _GRID[:np.searchsorted(_GRID, n, "right")]
+
+
+def inverse_powers(exponents: np.ndarray, which: int) -> np.ndarray:
+    """B^-e modulo a prime; from a table while the exponents lie within a block."""
+    if len(exponents) and exponents.max() >= BLOCK:
+        return np.array([pow(BASES[which], -e, PRIMES[which]) for e in exponents.tolist()], np.uint64)
+    return _INVERSES[which].upto(int(exponents.max(initial=0)) + 1)[exponents]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -157,13 +171,10 @@ class Fingerprint:
                 carry[k] = (int(local[own]) * shift[k] + carry[k]) % prime
                 shift[k] = shift[k] * pow(BASES[k], own, prime) % prime
                 if len(block) >= SPAN and k == 0:
-                    # Aligned to the same power of the base, so equal spans have equal hashes anywhere.
+                    # All brought to the power BLOCK - 1, so equal spans have equal hashes anywhere.
                     count = len(block) - SPAN + 1
-                    gaps = (local[SPAN:] + np.uint64(prime) - local[:-SPAN]) % np.uint64(prime)
-                    spans = gaps * _POWERS[k].upto(max(len(block), BLOCK + SPAN))[:count][::-1] % np.uint64(prime)
-                    # All spans of a block carry B^(count - 1); blocks of other sizes are brought to the same.
-                    lift = pow(BASES[k], BLOCK - count, prime) if count < BLOCK else 1
-                    spans = _mix(spans * np.uint64(lift) % np.uint64(prime))
+                    gaps = local[SPAN:] + np.uint64(prime) - local[:-SPAN]
+                    spans = _mix(gaps * _POWERS[k].upto(BLOCK)[::-1][:count] % np.uint64(prime))
             if spans is not None:
                 which = (spans >> np.uint64(58)).astype(np.int64)
                 np.minimum.at(least, which, spans)
@@ -173,10 +184,10 @@ class Fingerprint:
         whole = np.searchsorted(wanted, n)
         starts = np.searchsorted(wanted, n - lengths)
         suffix = np.zeros(len(lengths), np.uint64)
-        for i, (length, start) in enumerate(zip(lengths.tolist(), starts.tolist(), strict=True)):
-            for k in (0, 1):
-                value = (int(sums[k][whole]) - int(sums[k][start])) * pow(BASES[k], -(n - length), PRIMES[k]) % PRIMES[k]
-                suffix[i] = suffix[i] * np.uint64(1 << 31) + np.uint64(value)
+        for k in (0, 1):
+            prime = np.uint64(PRIMES[k])
+            gaps = (sums[k][whole] + prime - sums[k][starts]) % prime
+            suffix = (suffix << np.uint64(31)) + gaps * inverse_powers(n - lengths, k) % prime
         low = np.uint64(0xFFFFFFFF)
         bins = np.where(least == np.iinfo(np.uint64).max, np.uint64(0), (least & low) | np.uint64(1))
         return cls(n, (combined[place] & low).astype("<u4"), (_mix(suffix) & low).astype("<u4"), bins.astype("<u4"))
