@@ -662,7 +662,7 @@ QUALITY = f"""(SELECT doc_id, label, clean_text FROM (
   SELECT doc_id, quality AS label, {sanitize_sql("coalesce(text, '')")} AS clean_text FROM documents JOIN labels USING (doc_id))
   WHERE {words('clean_text')} >= 1)"""
 VALIDATION = f"(SELECT * FROM {split_sql(QUALITY, 'label')} WHERE split = 'val')"
-ORACLES["baseline_gradient"] = "SELECT true AS stopped, true AS flat, count(DISTINCT quality) AS classes FROM labels"
+ORACLES["baseline_gradient"] = "SELECT true AS flatter, count(DISTINCT quality) AS classes FROM labels"
 ORACLES["baseline_proba_equal"] = f"""
 SELECT doc_id, category_id, true AS equal FROM {VALIDATION} CROSS JOIN (SELECT unnest(range(0, 2)) AS category_id)"""
 ORACLES["training_history_falls"] = "SELECT true AS moved, true AS falls"
