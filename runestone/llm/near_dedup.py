@@ -11,13 +11,16 @@
    miss a link between two classes that are both unlike its centre, so buckets
    that still hold more than one component get more stars, around other
    centres; what is left after that is compared across components of a bucket,
-   each class of the smaller components with the others. So every pair with two common buckets
+   each class of the smaller components with the others. So every pair of a bucket
    is either in one component or has been compared, with no cap on anything.
 
+What is compared are sizes and bit maps of the sets first, inside the join, which cannot
+reject a pair that is alike; only the rest meet with their full sets. The last step is the
+only one whose comparisons can grow with the square of a group: by the classes that no
+star could place, times their buckets.
+
 With 32 bands of 5 bins a pair at a similarity of 0.8 shares no bucket with a
-probability of 0.0000031, and fewer than two with 0.000052; at 0.85 with 0.00000001
-and 0.0000002. The last step is the only one whose work can grow with the square
-of a group: by the classes that no star could place, times their buckets.
+probability of 0.0000031, at 0.85 of 0.00000001.
 
 Defined results: a text without words, or null, has an empty set and is linked with
 nothing. Fewer words than a shingle are one shingle. A row without doc_id is
@@ -47,11 +50,13 @@ SIMILARITY = 80  # percent
 BANDS = 32
 BAND_BINS = 5
 STARS = 2
+# Longs in the bit map of a set.
+MAP_LONGS = 64
 
 _BASE = np.uint64(0x9FB21C651E98DF25)
 _HASHES = WordHashes()
 
-SKETCHES = "doc long, row long, n long, d1 long, d2 long, bands array<long>"
+SKETCHES = "doc long, row long, n long, d1 long, d2 long, bands array<long>, bits array<long>"
 
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
@@ -63,6 +68,28 @@ def shingle_set(text: bytes | None, size: int) -> np.ndarray:
     return np.unique(window_hashes(_HASHES.of(words), min(size, len(words)), _BASE) + np.uint64(min(size, len(words))))
 
 
+def bit_map(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each hash, as ``MAP_LONGS`` longs."""
+    bits = np.zeros(64 * MAP_LONGS, bool)
+    bits[hashes & np.uint64(64 * MAP_LONGS - 1)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def may_be_alike(similarity: int, x: str, y: str) -> Column:
+    """Necessary for sets with sizes ``n_x``, ``n_y`` and maps ``bits_x``, ``bits_y`` to be alike enough.
+
+    Sizes bound the similarity, and so do the bits that differ: an element of only one set
+    changes at most one bit, and sets of a similarity s differ in at most
+    (1 - s) / (1 + s) of their elements together.
+    """
+    n_x, n_y, bits_x, bits_y = (F.col(f"{c}_{s}") for c in ("n", "bits") for s in (x, y))
+    differ = F.bit_count(F.get(bits_x, F.lit(0)).bitwiseXOR(F.get(bits_y, F.lit(0))))
+    for i in range(1, MAP_LONGS):
+        differ = differ + F.bit_count(F.get(bits_x, F.lit(i)).bitwiseXOR(F.get(bits_y, F.lit(i))))
+    return (100 * F.least(n_x, n_y) >= similarity * F.greatest(n_x, n_y)) & (
+        (100 + similarity) * differ <= (100 - similarity) * (n_x + n_y))
+
+
 class Sketcher:
     """Band keys of shingle sets; the same for every document and worker."""
 
@@ -99,7 +126,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, bins:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(bands, bins)
         for batch in batches:
-            sizes, digests, keys, ends = [], [], [], [0]
+            sizes, digests, keys, ends, maps = [], [], [], [0], []
             for text in column_of(batch, "text"):
                 hashes = shingle_set(text, shingle)
                 sizes.append(len(hashes))
@@ -107,12 +134,14 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, bins:
                 if len(hashes):
                     keys.append(sketcher.keys(hashes))
                 ends.append(ends[-1] + bands * bool(len(hashes)))
+                maps.append(bit_map(hashes))
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                ["doc", "row", "n", "d1", "d2", "bands"],
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(maps) + 1) * MAP_LONGS, pa.int32()), pa.array(np.concatenate(maps)))],
+                ["doc", "row", "n", "d1", "d2", "bands", "bits"],
             )
 
     text = F.col("text").cast("string")
@@ -135,12 +164,11 @@ def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
 
 def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough."""
-    sizes = classes.select("node", "n")
-    sized = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(
-        sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b"
+    left, right = (
+        classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in ("a", "b")
     )
-    # Sets whose sizes differ too much cannot be alike enough.
-    possible = settle(sized.filter(100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")).select("a", "b"))
+    first = pairs.join(left, "a").withColumnRenamed("b", "_b")
+    possible = settle(first.join(right, (F.col("_b") == F.col("b")) & may_be_alike(similarity, "a", "b")).select("a", "b"))
     named = possible.select(F.col("a").alias("node")).union(possible.select(F.col("b").alias("node"))).distinct()
     sets = settle(_sets(docs, named.join(classes.select("node", "row"), "node"), shingle))
 
@@ -175,8 +203,8 @@ def near_duplicates(
     # One row stands for a class: the first of the smallest doc_id.
     classes = settle(
         linkable.join(named, ["d1", "d2"]).filter("doc = node")
-        .groupBy("node").agg(F.min(F.struct("row", "n", "bands")).alias("_one"))
-        .select("node", "_one.row", "_one.n", "_one.bands")
+        .groupBy("node").agg(F.min(F.struct("row", "n", "bands", "bits")).alias("_one"))
+        .select("node", "_one.row", "_one.n", "_one.bands", "_one.bits")
     )
     keys = classes.select(F.explode("bands").alias("band"), "node")
     shared = keys.groupBy("band").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("center")).filter("_n > 1")
@@ -188,7 +216,7 @@ def near_duplicates(
         mixed = _mixed(members, labels)
         if mixed.isEmpty():
             break
-        more = _another_star(mixed, star) if star < stars else _across(mixed, classes)
+        more = _another_star(mixed, star) if star < stars else _across(mixed, classes, similarity)
         fresh = settle(more.select(*_pair(F.col("node"), F.col("center"))).distinct().join(tested, ["a", "b"], "left_anti"))
         found = _confirm(fresh, docs, classes, shingle, similarity)
         tested = tested.unionByName(fresh)
@@ -229,21 +257,21 @@ def _another_star(mixed: DataFrame, star: int) -> DataFrame:
     return mixed.join(centers, "band").filter("component <> _of").select("node", "center")
 
 
-def _across(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+def _across(mixed: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
     """(node, center): the largest component of a bucket is compared with, the classes of the others compare.
 
-    A pair comes out once, in its first common bucket, and only if it has a second one.
+    Only pairs that may be alike by their sizes and bit maps come out of the join.
     """
     sizes = mixed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("_n"))
     largest = sizes.groupBy("band").agg(F.max_by("component", F.struct("_n", "component")).alias("_most"))
-    keyed = settle(mixed.join(classes.select("node", "bands"), "node").join(largest, "band"))
+    keyed = mixed.join(classes.select("node", F.col("n").alias("n_x"), F.col("bits").alias("bits_x")), "node").join(largest, "band")
+    keyed = settle(keyed)
     few = keyed.filter("component <> _most").select(
-        F.col("band").alias("_band"), F.col("node").alias("center"), F.col("component").alias("_of"), F.col("bands").alias("_bands")
+        F.col("band").alias("_band"), F.col("node").alias("center"), F.col("component").alias("_of"),
+        F.col("n_x").alias("n_y"), F.col("bits_x").alias("bits_y"),
     )
-    common = F.filter(F.zip_with("bands", "_bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
-    once = (F.col("band") == F.col("_band")) & (F.col("component") != F.col("_of")) & (F.get(common, F.lit(0)) == F.col("band")) & (
-        F.size(common) > 1)
-    return keyed.join(few, once).select("node", "center")
+    across = (F.col("band") == F.col("_band")) & (F.col("component") != F.col("_of")) & may_be_alike(similarity, "x", "y")
+    return keyed.join(few, across).select("node", "center")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:

@@ -151,6 +151,23 @@ def test_links_that_a_star_misses(spark):
     assert {r["component_id"] for r in got} == {100 * c for c in range(12)}
 
 
+def test_bit_maps_reject_no_pair_that_is_alike(spark):
+    rng = np.random.default_rng(8)
+    rows, alike = [], 0
+    for i in range(300):
+        n = int(rng.integers(1, 3000))
+        pool = np.unique(rng.integers(0, 1 << 64, 2 * n, np.uint64))
+        x = rng.choice(pool, n, replace=False)
+        y = np.concatenate([x[int(n * rng.random() * 0.4):], rng.integers(0, 1 << 64, int(n * rng.random() * 0.3), np.uint64)])
+        both = len(np.intersect1d(x, y))
+        like = 100 * both >= 80 * (len(x) + len(y) - both)
+        alike += like
+        rows.append((like, len(x), len(y), near_dedup.bit_map(x).tolist(), near_dedup.bit_map(y).tolist()))
+    table = spark.createDataFrame(rows, "alike boolean, n_x long, n_y long, bits_x array<long>, bits_y array<long>")
+    got = table.select("alike", near_dedup.may_be_alike(80, "x", "y").alias("may")).collect()
+    assert alike > 30 and all(r["may"] for r in got if r["alike"]) and sum(not r["may"] for r in got) > 100
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(40)] + [(1000, 1000 + i) for i in range(1, 200)] + [(rng.randrange(2000, 2100), rng.randrange(2000, 2100)) for _ in range(60)]
