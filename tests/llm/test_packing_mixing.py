@@ -88,7 +88,8 @@ def test_plan_does_not_grow_with_the_corpus():
     small, large = (packing.Plan({n: c * k for n, c in counts.items()}, 4096) for k in (1, 10**9))
     assert len(large.steps) < 8 * 4096 and len(large.steps) < 2 * len(small.steps) + 4096
     filled = sum(n * c for n, c in counts.items()) * 10**9 / 4096
-    assert large.sequences < 1.001 * filled
+    # Full but for the pieces over half of the capacity that have no partner.
+    assert large.sequences < 1.01 * filled
 
 
 def test_hot_length_is_ranked_in_slices(spark):
