@@ -42,7 +42,7 @@ _NUMBERS = (
     rb"|(?<![A-Za-z0-9./-])(?P<day>[0-9]{1,2}(?P<sep>[./])[0-9]{1,2}(?P=sep)[0-9]{4})(?![-/.]?[0-9A-Za-z])"
     rb"|(?<![A-Za-z0-9])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![-]?[0-9A-Za-z])"
     rb"|(?<![A-Za-z0-9+])(?P<phone>(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|(?:\+1[ .-]?)?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
-    rb"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4})(?![0-9A-Za-z])"
+    rb"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4})(?![0-9A-Za-z]|\.[0-9])"
     rb"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
     # In one piece, or in the groups that are printed on cards: never with the number after it.
     rb"|(?<![A-Za-z0-9])(?P<card>[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}"

@@ -143,7 +143,7 @@ def test_values_stay_linked_and_valid():
 
 @pytest.mark.parametrize("text", [
     "1234567890123456", "300.1.1.1", "1.2.3", "v1.2.3.4.5", "2021-02-30", "000-12-3456", "GB00 WEST 1234 5698 7654 32", "a@b", "secret = abcdefgh",
-    "call 555 0271", "01.02.03.04", "x4539148803436467", "4539148803436467y", "1111111111111117", "ratio 10:20", "", "no data at all",
+    "call 555 0271", "01.02.03.04", "x4539148803436467", "4539148803436467y", "4111111111111112", "ratio 10:20", "", "no data at all",
 ])
 def test_other_text_stays(text):
     assert pii.Pseudonyms(b"key").text(text.encode()) == (text.encode(), 0)
