@@ -59,13 +59,13 @@ _HASHES = WordHashes()
 SKETCHES = "doc long, row long, n long, d1 long, d2 long, bands array<long>, bits array<long>"
 
 
-def shingle_set(text: bytes | None, size: int) -> np.ndarray:
+def shingle_set(text: bytes | None, size: int, hashes: WordHashes = _HASHES) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a whole text."""
     words = (text or b"").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     # A sequence shorter than a shingle must not look like a shingle of another length.
-    return np.unique(window_hashes(_HASHES.of(words), min(size, len(words)), _BASE) + np.uint64(min(size, len(words))))
+    return np.unique(window_hashes(hashes.of(words), min(size, len(words)), _BASE) + np.uint64(min(size, len(words))))
 
 
 def bit_map(hashes: np.ndarray) -> np.ndarray:
@@ -124,11 +124,12 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, bins:
     """Per row: set size, 128-bit digest of the set, band keys (none for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = Sketcher(bands, bins)
+        # The words' hashes are forgotten with the task: the next stage's worker is the same process.
+        sketcher, known = Sketcher(bands, bins), WordHashes()
         for batch in batches:
             sizes, digests, keys, ends, maps = [], [], [], [0], []
             for text in column_of(batch, "text"):
-                hashes = shingle_set(text, shingle)
+                hashes = shingle_set(text, shingle, known)
                 sizes.append(len(hashes))
                 digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
                 if len(hashes):
@@ -155,8 +156,9 @@ def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     wanted = join_dimension(keyed, nodes, ["node", "row"], "left_semi", salt_by="row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
         for batch in batches:
-            sets = [shingle_set(text, shingle).tobytes() for text in column_of(batch, "text")]
+            sets = [shingle_set(text, shingle, known).tobytes() for text in column_of(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("node")), pa.array(sets, pa.binary())], ["node", "set"])
 
     return wanted.select("node", "text").mapInArrow(run, "node long, set binary")

@@ -25,6 +25,7 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -290,19 +291,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, slice_rows: int = SLICE_RO
         .withColumn(rank, F.col(earlier) + F.row_number().over(inside) - 1)
         .select(*columns, rank)
     )
-    schema = pieces.select(*columns).schema.add("sequence_id", "long").add("offset", "long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = plan.value
-        for batch in batches:
-            numbers = [
-                np.asarray(batch.column(batch.schema.get_field_index(c)).cast(pa.int64())) for c in ("length", rank)
-            ]
-            sequence, offset = _places(*numbers, table)
-            kept = [batch.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=[f.name for f in schema.fields])
-
-    return ranked.mapInArrow(run, schema)
+    # Only two numbers of a piece go to Python; its ids stay where they are.
+    @F.pandas_udf("sequence_id long, offset long")
+    def place_of(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
+        sequence, offset = _places(lengths.to_numpy("int64"), ranks.to_numpy("int64"), plan.value)
+        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
+
+    found = free_name(pieces, "_found")
+    placed = ranked.withColumn(found, place_of.asNondeterministic()(F.col("length").cast("long"), F.col(rank).cast("long")))
+    return placed.select(*columns, F.col(found)["sequence_id"].alias("sequence_id"), F.col(found)["offset"].alias("offset"))
 
 
 def assemble(packed: DataFrame) -> DataFrame:
