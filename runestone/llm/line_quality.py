@@ -37,8 +37,12 @@ MENU_SEPARATORS = 2
 MENU_WORDS = 3
 # A line fails when one word stands this often in a row.
 RUN = 5
-# A line of this many words fails when it has this many capitals and no small ASCII letter.
+# A line of this many words fails when it has this many capitals, no small letter of any script, and no more letters
+# of scripts without capitals than capitals.
 SHOUT = 4
+# A line with a boilerplate phrase fails up to this many words; a longer one when phrases make up this share of its words, in percent.
+BOILERPLATE_WORDS = 20
+BOILERPLATE_SHARE = 20
 
 BOILERPLATE = (
     "licensed under", "all rights reserved", "released under the", "general public license", "copyright (c)",
@@ -46,7 +50,6 @@ BOILERPLATE = (
 )
 _BOILERPLATE = re.compile(b"|".join(re.escape(x.encode()) for x in BOILERPLATE))
 _SMALL = re.compile(b"[a-z]")
-_CAPITALS = re.compile(b"[A-Z]")
 
 JUDGED = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -54,6 +57,25 @@ JUDGED = (
 )
 
 
+def shouts(line: bytes) -> bool:
+    """Whether the letters of a line are capitals. A letter without a capital of its own, as ß, says nothing."""
+    if _SMALL.search(line):
+        return False
+    text = line.decode("utf-8", "replace")
+    if any(c.islower() and c.upper() != c and len(c.upper()) == 1 for c in text):
+        return False
+    capitals = sum(map(str.isupper, text))
+    return capitals >= SHOUT and capitals >= sum(c.isalpha() and not c.isupper() and not c.islower() for c in text)
+
+
+def is_boilerplate(line: bytes, words: list[bytes]) -> bool:
+    """Whether a line with a phrase is short, or made of phrases to a fifth."""
+    phrases = _BOILERPLATE.findall(line.lower())
+    if not phrases:
+        return False
+    return len(words) <= BOILERPLATE_WORDS or 100 * sum(len(x.split()) for x in phrases) >= BOILERPLATE_SHARE * len(words)
+
+
 def line_fails(line: bytes, words: list[bytes]) -> bool:
     """Whether one line with words breaks a rule."""
     size = sum(map(len, words))
@@ -63,14 +85,14 @@ def line_fails(line: bytes, words: list[bytes]) -> bool:
     separators = line.count(b" | ")
     if separators >= MENU_SEPARATORS and len(words) - separators <= MENU_WORDS * (separators + 1):
         return True
-    if len(words) >= SHOUT and not _SMALL.search(line) and len(_CAPITALS.findall(line)) >= SHOUT:
+    if len(words) >= SHOUT and shouts(line):
         return True
     run = 1
     for before, word in zip(words, words[1:], strict=False):
         run = run + 1 if word == before else 1
         if run == RUN:
             return True
-    return _BOILERPLATE.search(line.lower()) is not None
+    return is_boilerplate(line, words)
 
 
 def repeated_words(words: list[bytes]) -> int:

@@ -219,6 +219,27 @@ def test_line_rules(line, fails):
     assert line_quality.line_fails(raw, raw.split()) is fails
 
 
+@pytest.mark.parametrize(("line", "fails"), [
+    ("They read the privacy policy once. " + " ".join(f"word{i}" for i in range(60)), False),
+    ("Privacy policy and terms of use. " * 10, True),
+    (" ".join(f"Wort{i}" for i in range(14)) + ". Cookie policy, terms of use, privacy policy.", True),
+    ("Страны НАТО и COVID-19 обсуждали в Брюсселе", False), ("Οι χώρες του NATO και ο COVID-19 σήμερα", False),
+    ("ناقشت دول NATO وباء COVID-19 في اجتماع طويل أمس", False), ("今日 の 会議 で NATO と 協議 した と 発表 された", False),
+    ("КУПИТЕ СЕЙЧАС И СЕГОДНЯ", True), ("GROßE STRAßE UND WEG", True), ("ÄRGER ÜBER DIE FÄLLE", True), ("1 2 3 4 ABC", False),
+])
+def test_rules_spare_clean_lines(line, fails):
+    raw = line.encode()
+    assert line_quality.line_fails(raw, raw.split()) is fails
+
+
+def test_clean_documents_of_one_line_are_kept():
+    prose = " ".join(f"word{i}" for i in range(80))
+    russian = " ".join(f"слово{chr(0x430 + i % 32)}{chr(0x430 + i // 32)}" for i in range(80))
+    for text in (f"{prose} as its privacy policy says", f"{russian} НАТО и COVID-19 NATO"):
+        figures, kept = line_quality.judge_text(text.encode())
+        assert figures[6] and kept == text.encode()
+
+
 def test_quality_verdict():
     bad = b"MENU | HOME | SHOP | CART"
     good = [b" ".join(b"w%d" % (10 * i + k) for k in range(10)) + b"." for i in range(10)]
