@@ -35,6 +35,25 @@ ROUNDS = 10
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
+# Characters of an IBAN by its country's code, as registered or in use.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+    26: "IR IS TR", 27: "BI CF CG CM DJ DZ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO EG GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> bytes:
+    """Exactly the length that the country fixes, so that no word after it is taken in; else up to 34 characters."""
+    exact = [
+        f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, codes in IBAN_LENGTHS.items()
+    ]
+    other = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+    return f"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?P<iban>(?:{'|'.join([*exact, other])}))(?![0-9A-Za-z])".encode()
+
+
 _EMAIL = rb"(?<![A-Za-z0-9._%+\x80-\xff-])(?P<email>[A-Za-z0-9._%+\x80-\xff-]+)@(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
 _NUMBERS = (
     rb"(?<![A-Za-z0-9.])(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\.?[0-9A-Za-z])"
@@ -43,7 +62,7 @@ _NUMBERS = (
     rb"|(?<![A-Za-z0-9])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![-]?[0-9A-Za-z])"
     rb"|(?<![A-Za-z0-9+])(?P<phone>(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|(?:\+1[ .-]?)?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
     rb"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4})(?![0-9A-Za-z]|\.[0-9])"
-    rb"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
+    rb"|" + _iban_pattern() +
     # In one piece, or in the groups that are printed on cards: never with the number after it.
     rb"|(?<![A-Za-z0-9])(?P<card>[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}"
     rb"|[0-9]{4}(?P<gap2>[ -])[0-9]{6}(?P=gap2)[0-9]{5})(?![0-9A-Za-z])"

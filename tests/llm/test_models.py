@@ -149,6 +149,29 @@ def test_other_text_stays(text):
     assert pii.Pseudonyms(b"key").text(text.encode()) == (text.encode(), 0)
 
 
+@pytest.mark.parametrize(("iban", "rest"), [
+    ("BE68 5390 0754 7034", " EUR 500"), ("ES9121000418450200051332", " BIC CAIXESBB"), ("BE68 5390 0754 7034", " 2024 x"),
+    ("BE68539007547034", " CAIXESBB"), ("BE68 5390 0754 7034", " EUR500"), ("GB82 WEST 1234 5698 7654 32", " GBP 10"),
+    ("DE89 3704 0044 0532 0130 00", " EUR"), ("NO93 8601 1117 947", " NOK 20"), ("MT84MALT011000012345MTLCAST001S", " A1"),
+])
+def test_words_after_an_iban(iban, rest):
+    forward, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", True)
+    for text in (iban + rest, f"IBAN: {iban}{rest}", f"{iban} {iban}{rest}"):
+        new, n = forward.text(text.encode())
+        assert n == text.count(iban) and iban.encode() not in new and new.endswith(rest.encode())
+        assert back.text(new) == (text.encode(), n)
+    new = forward.text((iban + rest).encode())[0].decode()[: len(iban)].replace(" ", "")
+    assert new[:2] == iban[:2] and pii.iban_check(new[:2], new[4:]) == new[2:4]
+    assert new == forward.text(iban.replace(" ", "").encode())[0].decode()
+
+
+def test_values_after_an_iban():
+    new, n = pii.Pseudonyms(b"key").text(b"BE68 5390 0754 7034 2024-01-05")
+    assert n == 2 and b"2024-01-05" not in new
+    lengths = {code: size for size, codes in pii.IBAN_LENGTHS.items() for code in codes.split()}
+    assert len(lengths) == sum(len(x.split()) for x in pii.IBAN_LENGTHS.values()) and max(lengths.values()) <= 34
+
+
 @pytest.mark.parametrize("name", ["table", "awkward", "nothing"])
 def test_pseudonyms_of_tables(request, name):
     docs = request.getfixturevalue(name)
