@@ -55,9 +55,11 @@ def _iban_pattern() -> bytes:
 
 
 _EMAIL = rb"(?<![A-Za-z0-9._%+\x80-\xff-])(?P<email>[A-Za-z0-9._%+\x80-\xff-]+)@(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
+# A time after a date, with its zone.
+_TIME = rb"[Tt][0-9]{2}(?:(?::?[0-9]{2}){1,2}(?:[.,][0-9]+)?)?(?:[Zz]|[+-][0-9]{2}(?::?[0-9]{2})?)?(?![0-9A-Za-z])"
 _NUMBERS = (
     rb"(?<![A-Za-z0-9.])(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\.?[0-9A-Za-z])"
-    rb"|(?<![A-Za-z0-9./-])(?P<iso>[0-9]{4}-[0-9]{2}-[0-9]{2})(?![-/.]?[0-9A-Za-z])"
+    rb"|(?<![A-Za-z0-9./-])(?P<iso>[0-9]{4}-[0-9]{2}-[0-9]{2})(?:(?![-/.]?[0-9A-Za-z])|(?=" + _TIME + rb"))"
     rb"|(?<![A-Za-z0-9./-])(?P<day>[0-9]{1,2}(?P<sep>[./])[0-9]{1,2}(?P=sep)[0-9]{4})(?![-/.]?[0-9A-Za-z])"
     rb"|(?<![A-Za-z0-9])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![-]?[0-9A-Za-z])"
     rb"|(?<![A-Za-z0-9+])(?P<phone>(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|(?:\+1[ .-]?)?[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
@@ -183,23 +185,31 @@ class Pseudonyms:
         new = self.feistel.permute("ip", int.from_bytes(bytes(octets), "big"), 1 << 32, back=self.back)
         return ".".join(map(str, new.to_bytes(4, "big")))
 
-    def _date(self, year: int, month: int, day: int) -> datetime.date | None:
+    def _date(self, year: int, month: int, day: int, kind: str = "date", valid: Callable[[datetime.date], bool] | None = None) -> datetime.date | None:
         try:
             at = datetime.date(year, month, day).toordinal() - FIRST_DAY
         except ValueError:
             return None
         if not 0 <= at < DAYS:
             return None
-        return datetime.date.fromordinal(FIRST_DAY + self.feistel.permute("date", at, DAYS, back=self.back))
+        among = valid and (lambda n: valid(datetime.date.fromordinal(FIRST_DAY + n)))
+        return datetime.date.fromordinal(FIRST_DAY + self.feistel.permute(kind, at, DAYS, among, self.back))
 
     def iso(self, x: str) -> str | None:
         new = self._date(*map(int, x.split("-")))
         return new and new.isoformat()
 
     def day(self, x: str) -> str | None:
-        """Day first with dots; with slashes month first where that is a date. Written with two digits each."""
+        """Day first with dots; with slashes month first where that is a date. Written with two digits each.
+
+        Other dates with slashes have a day over 12 first; they are permuted among themselves, those with a month of one digit too.
+        """
         sep = "." if "." in x else "/"
         a, b, year = map(int, x.split(sep))
+        if sep == "/" and a > 12:
+            width = len(x.split(sep)[1])
+            new = self._date(year, b, a, f"day first{width}", lambda d: d.day > 12 and (width == 2 or d.month < 10))
+            return new and f"{new.day}/{new.month:0{width}d}/{new.year:04d}"
         if sep == "/":
             new = self._date(year, a, b)
             return new and f"{new.month:02d}/{new.day:02d}/{new.year:04d}"

@@ -165,6 +165,27 @@ def test_words_after_an_iban(iban, rest):
     assert new == forward.text(iban.replace(" ", "").encode())[0].decode()
 
 
+@pytest.mark.parametrize(("date", "rest"), [
+    ("25/12/1980", ""), ("25/12/1980", ", 13/1/1999."), ("31/3/2020", ""), ("13/01/1900", ""), ("2020-01-05", "T10:00:00"), ("2020-01-05", "T10:00:00.250Z"),
+    ("2020-01-05", "T1000"), ("2020-01-05", "T10:00+01:00 x"), ("2020-01-05", "T23:59:59-0500"), ("2020-01-05", "t10Z."),
+])
+def test_day_first_and_timestamps(date, rest):
+    forward, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", True)
+    new, n = forward.text((date + rest).encode())
+    assert n == 1 + ("13/1/" in rest) and date.encode() not in new and (n > 1 or new.endswith(rest.encode()))
+    assert back.text(new) == ((date + rest).encode(), n) and shape(new.decode()) == shape(date + rest)
+
+
+def test_day_first_is_a_permutation():
+    forward, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", True)
+    dates = [f"{d}/{m:{z}}/1984" for d in range(13, 29) for m in range(1, 10) for z in ("d", "02d")]
+    new = [forward.text(x.encode())[0] for x in dates]
+    assert len(set(new)) == len(dates) and [back.text(x)[0].decode() for x in new] == dates
+    assert all(int(x.split(b"/")[0]) > 12 for x in new)
+    for text in (b"31/02/1980", b"25/13/1980", b"25/12/1580", b"2020-02-30T10:00:00", b"2020-01-05Total", b"2020-01-05T1000x"):
+        assert forward.text(text) == (text, 0)
+
+
 def test_values_after_an_iban():
     new, n = pii.Pseudonyms(b"key").text(b"BE68 5390 0754 7034 2024-01-05")
     assert n == 2 and b"2024-01-05" not in new
