@@ -3,7 +3,7 @@
 One view sees only the text's content, the other only the page's metadata (source,
 language, declared length). Each round both are fitted, calibrated, and score every
 unlabelled document; the documents of which one view is most certain join the
-other's training rows with its verdict. At the end the calibrated views are
+other's training rows with its verdict, one for all of equal features, and never twice. At the end the calibrated views are
 combined, and score all documents.
 
 Features are computed in one pass and written as a table of some hundred numbers a
@@ -155,11 +155,26 @@ def labelled_rows(table: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return table.join(chosen, "doc_id").dropDuplicates(["doc_id"])
 
 
-def most_certain(table: DataFrame, views: tuple[View, View], n: int) -> list:
+def surest(rows: list[tuple], n: int) -> list[tuple]:
+    """The ``n`` least of (doubt, digest, content, meta), one for each pair of features."""
+    seen, out = set(), []
+    for row in sorted(rows):
+        if len(out) == n:
+            break
+        if row[2:] not in seen:
+            seen.add(row[2:])
+            out.append(row)
+    return out
+
+
+def most_certain(table: DataFrame, views: tuple[View, View], n: int, taken: tuple[set, set] = (set(), set())) -> list:
     """Per view and verdict, the ``n`` unlabelled documents it is most certain of, among all.
 
+    One document stands for all of equal features. ``taken`` holds, per view, the features
+    (content, meta) it has taught before; they are left out before the ranking.
     Every task keeps its ``n`` of each, so that few rows meet.
     """
+    shared = table.sparkSession.sparkContext.broadcast(taken)  # at most 2 n a round and view
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[tuple[int, int], list[tuple]] = {}
@@ -172,8 +187,9 @@ def most_certain(table: DataFrame, views: tuple[View, View], n: int) -> list:
                 chance = _sigmoid(views[side].logits(sides[side]))
                 for verdict in (0, 1):
                     sure = chance if verdict else 1 - chance
-                    rows = [(-float(sure[i]), raw[0][i], raw[1][i], raw[2][i]) for i in np.flatnonzero(sure >= CERTAIN)]
-                    best[side, verdict] = sorted(best.get((side, verdict), []) + rows)[:n]
+                    rows = [(-float(sure[i]), raw[0][i], raw[1][i], raw[2][i]) for i in np.flatnonzero(sure >= CERTAIN)
+                            if (raw[1][i], raw[2][i]) not in shared.value[side]]
+                    best[side, verdict] = surest(best.get((side, verdict), []) + rows, n)
         out = [(side, verdict, *row) for (side, verdict), rows in best.items() for row in rows]
         if out:
             kinds = [pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.binary(), pa.binary()]
@@ -182,6 +198,8 @@ def most_certain(table: DataFrame, views: tuple[View, View], n: int) -> list:
             )
 
     found = settle(table.mapInArrow(run, "side int, verdict int, doubt double, digest long, content binary, meta binary"))
+    found = found.groupBy("side", "verdict", "content", "meta").agg(F.min(F.struct("doubt", "digest")).alias("_first")).select(
+        "side", "verdict", "_first.doubt", "_first.digest", "content", "meta")
     return [
         row for side in (0, 1) for verdict in (0, 1)
         for row in found.filter((F.col("side") == side) & (F.col("verdict") == verdict)).orderBy("doubt", "digest", "content", "meta").limit(n).collect()
@@ -226,13 +244,13 @@ def co_train(table: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labe
             views.append(View(np.concatenate([x[side][~held], more]), np.concatenate([y[~held], verdicts]), x[side][held], y[held]))
         return views[0], views[1]
 
-    views, taken = fitted(), set()
+    views, taken = fitted(), (set(), set())
     for _ in range(rounds):
-        new = [r for r in most_certain(unlabelled, views, max(1, int(SHARE * len(y)))) if (r["side"], r["digest"]) not in taken]
+        new = most_certain(unlabelled, views, max(1, int(SHARE * len(y))), taken)
         if not new:
             break
         for row in new:  # what one view is certain of teaches the other
-            taken.add((row["side"], row["digest"]))
+            taken[row["side"]].add((bytes(row["content"]), bytes(row["meta"])))
             extra[1 - row["side"]].append(row)
         views = fitted()
     sides = [v.logits(part[held]) for v, part in zip(views, x, strict=True)]

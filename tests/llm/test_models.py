@@ -303,6 +303,32 @@ def test_views_teach_each_other(spark):
     assert error[1] <= error[0] + 1e-6
 
 
+def test_every_round_teaches_other_documents(spark, monkeypatch):
+    """Copies that are surer than all else hold one place, not all of them in every round."""
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(1200):
+        good = i % 2 == 0
+        if i >= 400 and i % 3 == 0:
+            text = "clear words and sense. " * 20 if good else "BUY!!! NOW### " * 40
+        else:
+            text = " ".join(rng.choice(["clear", "words", "and", "sense."] if good else ["BUY!!!", "NOW###", "$$$", "win"]) for _ in range(60))
+        rows.append((i, text, "en", "good" if good else "bad", 100))
+        if i < 100:
+            labels.append((i, int(good), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    table = cotraining.features(docs).persist()
+    rounds, find = [], cotraining.most_certain
+    monkeypatch.setattr(cotraining, "most_certain", lambda *a, **k: rounds.append(find(*a, **k)) or rounds[-1])
+    cotraining.co_train(table, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    table.unpersist()
+    places = max(1, int(cotraining.SHARE * 100))
+    assert len(rounds) == cotraining.ROUNDS
+    taught = [(r["side"], bytes(r["content"]), bytes(r["meta"])) for new in rounds for r in new]
+    assert len(set(taught)) == len(taught)
+    assert all(sum((r["side"], r["verdict"]) == (s, v) for r in new) == places for new in rounds for s in (0, 1) for v in (0, 1))
+
+
 def test_quality_edges(spark, awkward, nothing):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (4, None, 0), (None, 1, 0), (5, 1, 0), (5, 0, 0)], "doc_id long, quality int, toxic int")
     few = cotraining.classify(awkward, labels).collect()
