@@ -4,7 +4,8 @@
    upper part gives a bin, and the least lower part in a bin is its value. An empty
    bin borrows from the first full bin in a random order of its own (optimal
    densification), the same order for every document.
-2. Equal sets are one class, named by its smallest doc_id; only classes go on.
+2. Equal sets are one class; only classes go on. Classes are numbered in the order of their
+   smallest doc_id, which two of them share where a doc_id has several texts.
 3. Bands of bins are bucket keys. A bucket of n classes gives a star of n - 1
    candidate edges, not all pairs.
 4. Candidates are confirmed on the full sets, and components found. A star can
@@ -150,10 +151,10 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, bands: int = BANDS, bins:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """(node, set) of the named rows; the texts stay where they are while the names are few enough to be broadcast."""
+    """(node, set) of the rows that ``nodes`` (node, doc, row) names; the texts stay where they are while the names are few enough to be broadcast."""
     text = F.col("text").cast("string")
-    keyed = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce(text_key(text), F.lit(0)).alias("row"), text.alias("text"))
-    wanted = join_dimension(keyed, nodes, ["node", "row"], "left_semi", salt_by="row")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce(text_key(text), F.lit(0)).alias("row"), text.alias("text"))
+    wanted = join_dimension(keyed, nodes, ["doc", "row"], "inner", salt_by="row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -172,7 +173,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int
     first = pairs.join(left, "a").withColumnRenamed("b", "_b")
     possible = settle(first.join(right, (F.col("_b") == F.col("b")) & may_be_alike(similarity, "a", "b")).select("a", "b"))
     named = possible.select(F.col("a").alias("node")).union(possible.select(F.col("b").alias("node"))).distinct()
-    sets = settle(_sets(docs, named.join(classes.select("node", "row"), "node"), shingle))
+    sets = settle(_sets(docs, named.join(classes.select("node", "doc", "row"), "node"), shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,12 +202,13 @@ def near_duplicates(
     """Per row of ``docs``: doc_id, text_key, n_shingles, component_id and kept (one of each component)."""
     every = settle(sketches(docs, shingle, bands, bins))
     linkable = every.filter("n > 0 AND doc IS NOT NULL")
-    named = linkable.groupBy("d1", "d2").agg(F.min("doc").alias("node"))
+    first = settle(linkable.groupBy("d1", "d2").agg(F.min("doc").alias("first")))
+    named = settle(first.orderBy("first", "d1", "d2").withColumn("node", F.monotonically_increasing_id()))
     # One row stands for a class: the first of the smallest doc_id.
     classes = settle(
-        linkable.join(named, ["d1", "d2"]).filter("doc = node")
-        .groupBy("node").agg(F.min(F.struct("row", "n", "bands", "bits")).alias("_one"))
-        .select("node", "_one.row", "_one.n", "_one.bands", "_one.bits")
+        linkable.join(named, ["d1", "d2"]).filter("doc = first")
+        .groupBy("node").agg(F.min(F.struct("row", "doc", "n", "bands", "bits")).alias("_one"))
+        .select("node", "_one.doc", "_one.row", "_one.n", "_one.bands", "_one.bits")
     )
     keys = classes.select(F.explode("bands").alias("band"), "node")
     shared = keys.groupBy("band").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("center")).filter("_n > 1")
@@ -225,12 +227,11 @@ def near_duplicates(
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
-    joined = (
-        every.join(named, ["d1", "d2"], "left")
-        .withColumn("node", F.when(F.col("n") > 0, F.col("node")))
-        .join(labels, "node", "left")
-    )
-    component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "node", "doc"))
+    # The smallest number of a component is that of its smallest doc_id.
+    lowest = labels.join(named.select(F.col("node").alias("component"), F.col("first").alias("_lowest")), "component").select("node", "_lowest")
+    of_class = named.join(lowest, "node", "left").select("d1", "d2", F.coalesce("_lowest", "first").alias("component"))
+    joined = every.join(of_class, ["d1", "d2"], "left").withColumn("component", F.when(F.col("n") > 0, F.col("component")))
+    component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
     return joined.select(
         F.col("doc").alias("doc_id"), F.col("row").alias("text_key"), F.col("n").alias("n_shingles"),
         component.alias("component_id"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"),

@@ -138,6 +138,21 @@ def test_near_edges(awkward, nothing):
     assert near_dedup.near_duplicates(nothing).count() == 0 and near_dedup.drop_near_duplicates(nothing).count() == 0
 
 
+def test_one_doc_id_with_several_texts(spark):
+    """Classes with the same smallest doc_id have links and components of their own."""
+    a, b, c = ([f"{x}{i}" for i in range(100)] for x in "abc")
+    near = lambda words: " ".join([*words[:-3], "other"])
+    for one, two in (("a", "b"), ("b", "a")):  # whichever set comes first by its digest
+        words = {"a": a, "b": b}
+        x, y = words[one], words[two]
+        rows = [(0, near(x)), (1, " ".join(x)), (1, " ".join(y)), (5, " ".join(c)), (5, " ".join(y[:50])), (6, near(c)), (7, " ".join(y[:49])), (8, near(y))]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = near_dedup.near_duplicates(docs, shingle=2).drop("text_key").collect()
+        assert Counter(tuple(r) for r in got) == Counter(brute.near_dedup(rows, 2))
+        left = Counter(tuple(r) for r in near_dedup.drop_near_duplicates(docs, shingle=2).collect())
+        assert left == Counter([(0, near(x)), (1, " ".join(y)), (5, " ".join(c)), (5, " ".join(y[:50]))])
+
+
 def test_links_that_a_star_misses(spark):
     """Chains where neighbours are alike and the ends are not, so that one centre cannot reach them all."""
     rows = []
