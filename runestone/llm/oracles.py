@@ -127,10 +127,61 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM docs LEFT JOIN kept USING (row_id)
 """
 
+SORTED_LIST_SEARCH = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c FROM embeddings
+  WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), scores AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.c, v.c)::BIGINT AS score
+  FROM (SELECT DISTINCT vec_id, c FROM v WHERE vec_id % 50 = 0) q JOIN v ON v.vec_id IS DISTINCT FROM q.vec_id AND len(v.c) = len(q.c)
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 5
+"""
+
+SPELLING_VARIANTS = r"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM bits WHERE k < 8
+), steps AS (SELECT i, v FROM bits WHERE k = 8
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS w FROM documents
+), named AS (
+  SELECT doc_id, w, count(*) AS n, hex(encode(doc_id || ':' || w)) AS h FROM runs WHERE length(w) >= 6 GROUP BY 1, 2
+), digest(doc_id, w, n, h, k, c) AS (
+  SELECT doc_id, w, n, h, 1, 4294967295 FROM named
+  UNION ALL
+  SELECT doc_id, w, n, h, k + 2, xor(c // 256, v) FROM digest JOIN steps
+    ON i = xor(c % 256, 16 * (instr('0123456789ABCDEF', h[k]) - 1) + instr('0123456789ABCDEF', h[k + 1]) - 1) WHERE k < length(h)
+), hashed AS (SELECT w, n, xor(c, 4294967295) AS c, length(w) AS chars FROM digest WHERE k > length(h)
+), damaged AS (
+  SELECT n, CASE WHEN c % 199 = 0 THEN substr(w, 1, (c % chars)::INTEGER) || substr(w, (c % chars)::INTEGER + 2) ELSE w END AS word FROM hashed
+  UNION ALL SELECT count(*), w FROM runs WHERE doc_id IS NULL GROUP BY w
+), words AS (SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5
+), skipped AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT x.word, y.word AS other, y.n FROM skipped x JOIN skipped y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT s.word, w.word, w.n FROM skipped s JOIN words w ON s.a || s.b = w.word
+  UNION SELECT w.word, s.word, s.n FROM skipped s JOIN words w ON s.a || s.b = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS most FROM near GROUP BY 1
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= 5 * n THEN other END AS form, CASE WHEN most >= 5 * n THEN most END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), followed(word, last, further) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL SELECT followed.word, formed.word, formed.form FROM followed JOIN formed ON formed.word = followed.further
+)
+SELECT word, form, last AS root, n, n_near, form_n FROM formed JOIN followed USING (word) WHERE further IS NULL
+"""
+
 ORACLES = {
     "op1_quality_rules": QUALITY_RULES,
     "op6_line_bitmaps": LINE_BITMAPS,
     "op8_source_mix": SOURCE_MIX,
     "op9_minhash_near_dedup": NEAR_DEDUP,
     "op10_window_dedup": WINDOW_DEDUP,
+    "op11_sorted_list_search": SORTED_LIST_SEARCH,
+    "op12_spelling_variants": SPELLING_VARIANTS,
 }

@@ -1,4 +1,4 @@
-"""The ten operators as queries over the whole ``documents`` table, with production parameters."""
+"""The thirteen operators as queries over their whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runestone.llm import byte_cnn, cotraining, curriculum, line_dedup, line_quality, near_dedup, packing, pii, prefix_hash, substring
+from runestone.llm import byte_cnn, cotraining, curriculum, line_dedup, line_quality, near_dedup, packing, periodic_runs, pii, prefix_hash, score_lists, spelling, substring
 from runestone.llm.common import documents
+from runestone.sources.tables import spread
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +77,19 @@ def byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.identify(docs, byte_cnn.train(docs))
 
 
+def sorted_list_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spread(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"), "vec_id")
+    return score_lists.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def periodic_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest_runs(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": quality_rules,
     "op2_best_fit_packing": best_fit_packing,
@@ -87,4 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": source_mix,
     "op9_minhash_near_dedup": minhash_near_dedup,
     "op10_window_dedup": window_dedup,
+    "op11_sorted_list_search": sorted_list_search,
+    "op12_spelling_variants": spelling_variants,
+    "op13_periodic_runs": periodic_word_runs,
 }
