@@ -21,8 +21,11 @@ named otherwise are ignored by ``tokenize``; ``pack`` keeps them.
 from __future__ import annotations
 
 import bisect
+import json
 import os
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runestone.llm.common import column_of, free_name, map_batches
+from runestone.llm.common import free_name, map_batches
 from runestone.session import settle
 
 CAPACITY = 4096
 END_ID = 1
-# Words whose ids a Python worker remembers, in each of two generations.
-REMEMBERED = 300_000
+# Words, and pieces of words, whose ids a Python worker remembers, in each of two generations.
+REMEMBERED = 100_000
 # Bytes of text that are tokenized at a time, and words in one call of the tokenizer.
 CHUNK = 1 << 20
 WORDS_PER_CALL = 64
@@ -46,11 +49,60 @@ SLICE_ROWS = 100_000
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
+# The parts of a tokenizer file for which words can be cut here: fixed values, compared as they stand.
+KNOWN_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+KNOWN_SPLIT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+# The same split for texts of these characters: they are in normal form, and their lower-case forms are letters of the class too.
+PLAIN = re.compile("[\\t-\\r -~À-ÖØ-öø-įı-ſ]*")
+PIECE = re.compile("[a-zß-öø-įı-ſ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\\s0-9a-zß-öø-įı-ſ]+")
+
+
+WORD = re.compile("[^\\x20\\x09-\\x0D]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself where it can be printed, else the next from 256 on."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printed]
+    return {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
+class Remembered:
+    """What was asked for lately: two generations of at most ``size`` keys and those of one call."""
+
+    def __init__(self, size: int = REMEMBERED):
+        self.size = size
+        self.known: dict = {}
+        self.older: dict = {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that are not known; the others are found in ``known`` afterwards."""
+        if len(self.known) > self.size:
+            self.known, self.older = {}, self.known
+        out = []
+        for key in keys:
+            if key in self.known:
+                continue
+            if key in self.older:
+                self.known[key] = self.older[key]
+            else:
+                out.append(key)
+        return out
+
+
 class WordEncoder:
-    """Token ids of texts as little-endian unsigned 32-bit numbers, word by word.
+    """Token ids of texts as little-endian unsigned 32-bit numbers.
 
-    For tokenizers that drop white space, where no token reaches over it, so the ids of a text are
-    those of its words in a row. Frequent words are encoded once per worker.
+    For tokenizers that drop white space, where no token reaches over it. Where the file splits texts
+    into runs of letters, digits and marks, texts in Latin script are cut into these pieces, and only new
+    pieces go to the model. All other texts, and those of other tokenizers, go through the
+    whole tokenizer word by word, a word only if it is new.
     """
 
     def __init__(self, path: str):
@@ -58,52 +110,62 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        added = self.tokenizer.get_added_tokens_decoder()
+        special = [(i, t.content) for i, t in added.items() if t.special]
         # A special token between words tells where the ids of the next one start.
         self.mark_id, self.mark = min(special) if special else (None, None)
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.added = [t.content for t in added.values()]
+        parts = json.loads(self.tokenizer.to_str())
+        self.splits = parts["normalizer"] == KNOWN_NORMALIZER and parts["pre_tokenizer"] == KNOWN_SPLIT
+        self.letters = byte_letters()
+        self.words, self.pieces = Remembered(), Remembered()
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in encoded]
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        new = []
-        for word in words:
-            if word in self.known:
-                continue
-            if word in self.older:
-                self.known[word] = self.older[word]
-            else:
-                new.append(word)
+    def learn_pieces(self, pieces: set[str]) -> None:
+        new = self.pieces.missing(pieces)
+        known, tokenize = self.pieces.known, self.tokenizer.model.tokenize
+        for piece in new:
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            known[piece] = array("I", [t.id for t in tokenize(letters)]).tobytes()
+
+    def learn(self, words: set[str]) -> None:
         plain, alone = [], []
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            (alone if self.mark is None or self.mark in text else plain).append((word, text))
-        for (word, _), ids in zip(alone, self._ids([t for _, t in alone]), strict=True):
-            self.known[word] = ids.tobytes()
+        for word in self.words.missing(words):
+            (alone if self.mark is None or any(x in word for x in self.added) else plain).append(word)
+        known = self.words.known
+        for word, ids in zip(alone, self._ids(alone), strict=True):
+            known[word] = ids.tobytes()
         calls = [plain[i:i + WORDS_PER_CALL] for i in range(0, len(plain), WORDS_PER_CALL)]
-        for call, ids in zip(calls, self._ids([self.mark.join(t for _, t in c) for c in calls] if calls else []), strict=True):
+        for call, ids in zip(calls, self._ids([self.mark.join(c) for c in calls] if calls else []), strict=True):
             ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
             start, raw = 0, ids.tobytes()
-            for (word, _), end in zip(call, ends, strict=True):
-                self.known[word] = raw[4 * start:4 * end]
+            for word, end in zip(call, ends, strict=True):
+                known[word] = raw[4 * start:4 * end]
                 start = end + 1
 
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text, a chunk of texts at a time."""
         chunk, size = [], 0
-        for i, text in enumerate(texts):
-            words = text.split()
-            chunk.append(words)
+        for text in texts:
+            if self.splits and PLAIN.fullmatch(text) and not any(x in text for x in self.added):
+                chunk.append((True, PIECE.findall(text.lower())))
+            else:
+                chunk.append((False, WORD.findall(text)))
             size += len(text)
-            if size >= CHUNK or i == len(texts) - 1:
-                self.learn(set().union(*chunk))
-                for each in chunk:
-                    yield b"".join(map(self.known.__getitem__, each))
+            if size >= CHUNK:
+                yield from self._encoded(chunk)
                 chunk, size = [], 0
+        if chunk:
+            yield from self._encoded(chunk)
+
+    def _encoded(self, chunk: list[tuple[bool, list[str]]]) -> Iterator[bytes]:
+        self.learn_pieces(set().union(*(parts for plain, parts in chunk if plain)))
+        self.learn(set().union(*(parts for plain, parts in chunk if not plain)))
+        for plain, parts in chunk:
+            yield b"".join(map((self.pieces if plain else self.words).known.__getitem__, parts))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -123,17 +185,16 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int =
             _ENCODERS[path] = WordEncoder(path)
         encoder = _ENCODERS[path]
         for batch in batches:
-            keys = column_of(batch, "doc_id")
-            texts = [t or b"" for t in column_of(batch, "text")]
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
             out: list[tuple] = []
             size = 0
-            for key, ids in zip(keys, encoder.encode(texts), strict=True):
+            for key, ids in zip(keys, encoder.encode(texts[n].as_py() or "" for n in range(len(texts))), strict=True):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     out.append((key, piece, at // 4, len(part) // 4, part))
                     size += len(part)
-                if size > 8 * CHUNK:
+                if size > 4 * CHUNK:
                     yield _pieces(out)
                     out, size = [], 0
             if out:

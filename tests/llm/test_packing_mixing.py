@@ -61,10 +61,25 @@ def test_assembled(spark, table):
 def test_words_that_hold_the_mark():
     encoder = packing.WordEncoder(tokenizer_path())
     texts = ["a<|startoftext|>b c", "<|startoftext|>", "x <|startoftext| y", "it's 42% Ünï-cödé \U0001f600 　 日本 語", "", "á b"]
-    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
     assert got == [ids_of(t)[:-1] for t in texts]
-    encoder.known, encoder.older = {}, encoder.known  # the older generation gives the same
-    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])] == got
+    for kept in (encoder.words, encoder.pieces):
+        kept.known, kept.older = {}, kept.known  # the older generation gives the same
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == got
+
+
+def test_pieces_of_words(table):
+    """Texts cut into pieces here have the ids that the whole tokenizer gives them."""
+    encoder = packing.WordEncoder(tokenizer_path())
+    assert encoder.splits
+    rng = random.Random(4)
+    letters = "abcXYZéÉñŸÿ'’sSdmtlrv0189 .,!?|<>—ΣİıſŁßàǘ ½²ªµ×÷日ŉ\t\x1c\x7f\x00"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["".join(rng.choice("abÉñ'sS09 .,!\n") for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += [r["text"] for r in table.select("text").collect()]
+    for size in (100_000, 50):  # forgetting changes nothing
+        encoder.words, encoder.pieces = packing.Remembered(size), packing.Remembered(size)
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [ids_of(t)[:-1] for t in texts]
 
 
 @pytest.mark.parametrize("seed", range(30))
