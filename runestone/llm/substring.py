@@ -38,15 +38,18 @@ from runestone.llm.common import column_of, id_or_lowest, map_batches, text_key
 WINDOW = 35
 # Windows in a block of documents, and windows that one range holds on average.
 BLOCK_WORDS = 1_000_000
-RANGE_WINDOWS = 4_000_000
+RANGE_WINDOWS = 2_000_000
 # Bytes of a word with the white space after it, from below: for the number of ranges only.
 WORD_BYTES = 6
-# Words whose hash a Python worker remembers, in each of two generations.
-REMEMBERED = 400_000
+# Words whose hash a task remembers, in each of two generations.
+REMEMBERED = 100_000
+# Bytes of text, or of answers, in a batch that leaves a task.
+SENT_BYTES = 4 << 20
 
 # Fixed odd multipliers of the two rolling hashes.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
+# The documents of a block are told in one of its rows.
 DEALT = "range int, block long, hashes binary, gaps binary, docs binary"
 ANSWERS = "block long, gaps binary, docs binary"
 FOUND = "doc long, row long, places binary"
@@ -54,7 +57,7 @@ INTERVALS = "doc long, row long, starts array<int>, ends array<int>"
 
 
 class WordHashes:
-    """64-bit hashes of words; frequent words are hashed once per worker."""
+    """64-bit hashes of words; frequent words are hashed once per task, and forgotten with it."""
 
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
@@ -70,9 +73,6 @@ class WordHashes:
         return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
 
-_HASHES = WordHashes()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -116,6 +116,7 @@ class _Block:
 
     def __init__(self, window: int, ranges: int):
         self.window, self.ranges = window, ranges
+        self.hashes = WordHashes()
         self.clear()
 
     def clear(self) -> None:
@@ -131,7 +132,7 @@ class _Block:
             self.docs.append(doc)
             self.rows.append(row)
             self.lengths.append(len(words))
-            self.numbers.append(_HASHES.of(words))
+            self.numbers.append(self.hashes.of(words))
             self.words += len(words)
 
     def dealt(self) -> Iterator[tuple]:
@@ -150,15 +151,11 @@ class _Block:
         alone = new & np.concatenate([new[1:], [True]])
         again = np.sort(at[order[~alone]])
         ids = np.array([self.docs, self.rows], "<i8")
-        # Every row carries the documents it speaks of, so the number only brings rows together.
+        # Named by its documents, so a task that is run again gives a block the same name.
         block = np.frombuffer(xxhash.xxh3_64_digest(ids.tobytes()), "<i8")[0].item()
-
-        def table(places: np.ndarray) -> bytes:
-            held = np.unique(np.searchsorted(starts, places, "right") - 1)
-            return np.concatenate([ids[:, held], starts[held].astype("<i8")[None]]).tobytes()
-
-        if len(again):  # known here already, it only passes through a range
-            yield block % self.ranges, block, None, _starts(again), table(again)
+        docs = np.concatenate([ids, starts[None, :-1].astype("<i8")]).tobytes()
+        # What is known here already only passes through a range, with the documents.
+        yield block % self.ranges, block, None, _starts(again), docs
         # One window of each hash goes on, in the order of the documents.
         chosen = np.sort(order[new])
         target = ((first[chosen] >> np.uint64(32)) * np.uint64(self.ranges) >> np.uint64(32)).astype(np.int64)
@@ -167,8 +164,7 @@ class _Block:
         keys = second[chosen].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
         for n in np.flatnonzero(np.diff(edges)).tolist():
             own = by_range[edges[n]:edges[n + 1]]
-            places = at[chosen[own]]
-            yield n, block, np.ascontiguousarray(keys[own]).tobytes(), _starts(places), table(places)
+            yield n, block, np.ascontiguousarray(keys[own]).tobytes(), _starts(at[chosen[own]]), None
 
 
 def _deal(window: int, ranges: int):
@@ -202,21 +198,21 @@ def _answers(rows: list[tuple]) -> pa.RecordBatch:
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One range: hashes that came from more than one block, as one row of places for each block."""
-    keys, places, blocks = [], [], []
+    keys, gaps_of, blocks = [], [], []
     for batch in batches:
-        known = []
-        for block, hashes, gaps, table in zip(*(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
-            if hashes is None:
-                known.append((block, gaps, table))
+        block_ids, hashes_of = batch.column(1), batch.column(2)
+        for n in range(batch.num_rows):
+            # The values of one row at a time: the batch itself is not turned into Python values.
+            block, gaps = block_ids[n].as_py(), batch.column(3)[n].as_py()
+            if not hashes_of[n].is_valid:
+                yield _answers([(block, gaps, batch.column(4)[n].as_py())])
                 continue
-            seven = np.frombuffer(hashes, np.uint8).reshape(-1, 7)
+            seven = np.frombuffer(hashes_of[n].as_buffer(), np.uint8).reshape(-1, 7)
             eight = np.zeros((len(seven), 8), np.uint8)
             eight[:, :7] = seven
             keys.append(eight.view("<u8").ravel())
-            places.append(_places(gaps).astype(np.uint32))
-            blocks.append((block, table))
-        if known:
-            yield _answers(known)
+            gaps_of.append(gaps)
+            blocks.append(block)
     if not keys:
         return
     ends = np.cumsum([len(k) for k in keys])
@@ -225,16 +221,17 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.argsort(merged, kind="stable")
     merged = merged[order]
     same = merged[1:] == merged[:-1]
+    del merged
     again = np.sort(order[np.concatenate([[False], same]) | np.concatenate([same, [False]])])
-    del merged, order
+    del order, same
     edges = np.searchsorted(again, np.concatenate([[0], ends]))
     out, size = [], 0
-    for n, (block, table) in enumerate(blocks):
+    for n, block in enumerate(blocks):
         own = again[edges[n]:edges[n + 1]] - (ends[n - 1] if n else 0)
         if len(own):
-            out.append((block, _starts(places[n][own].astype(np.int64)), table))
-            size += len(out[-1][1]) + len(table)
-        if size > 8 << 20:
+            out.append((block, _starts(_places(gaps_of[n])[own]), None))
+            size += len(out[-1][1])
+        if size > SENT_BYTES:
             yield _answers(out)
             out, size = [], 0
     if out:
@@ -245,17 +242,16 @@ def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The answers to one block, as a row for each document with places."""
     for batch in batches:
         for answers in batch.column(1).to_pylist():
-            found: dict[tuple[int, int], list[np.ndarray]] = {}
-            for answer in answers:
-                at, table = _places(answer["gaps"]), np.frombuffer(answer["docs"], "<i8").reshape(3, -1)
-                owner = np.searchsorted(table[2], at, "right") - 1
-                cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]).tolist()
-                for s, e in zip(cut, [*cut[1:], len(at)], strict=True):
-                    doc, row, start = (int(x) for x in table[:, owner[s]])
-                    found.setdefault((doc, row), []).append(at[s:e] - start)
+            # Of repeated blocks any one will do: their documents are the same.
+            table = np.frombuffer(next(a["docs"] for a in answers if a["docs"] is not None), "<i8").reshape(3, -1)
+            at = np.unique(np.concatenate([_places(a["gaps"]) for a in answers]))
+            owner = np.searchsorted(table[2], at, "right") - 1
+            cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][:len(at)]).tolist()
+            ends = [*cut[1:], len(at)][:len(cut)]
+            held = [table[:, owner[s]] for s in cut]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in found], pa.int64()), pa.array([r for _, r in found], pa.int64()),
-                 pa.array([np.unique(np.concatenate(p)).astype("<u4").tobytes() for p in found.values()], pa.binary())],
+                [pa.array([int(d[0]) for d in held], pa.int64()), pa.array([int(d[1]) for d in held], pa.int64()),
+                 pa.array([(at[s:e] - d[2]).astype("<u4").tobytes() for d, s, e in zip(held, cut, ends, strict=True)], pa.binary())],
                 ["doc", "row", "places"],
             )
 
@@ -297,24 +293,29 @@ def remove_intervals(docs: DataFrame, intervals: DataFrame) -> DataFrame:
     )
     joined = keyed.join(intervals.hint("shuffle_hash"), ["doc", "row"], "left").select("doc_id", "text", "starts", "ends")
 
+    kind = dict(docs.dtypes)["doc_id"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, n_removed, texts = [], [], []
-            for text, starts, ends in zip(column_of(batch, "text"), *(batch.column(i).to_pylist() for i in (2, 3)), strict=True):
-                words = (text or b"").split()
-                kept = words
+            first, sent, n_words, n_removed, texts = 0, 0, [], [], []
+            for n in range(batch.num_rows):
+                words = (batch.column(1)[n].as_py() or "").encode().split()
+                kept, starts = words, batch.column(2)[n].as_py()
                 if starts:
                     kept, before = [], 0
-                    for start, end in zip(starts, ends, strict=True):
+                    for start, end in zip(starts, batch.column(3)[n].as_py(), strict=True):
                         kept += words[before:start]
                         before = end
                     kept += words[before:]
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(kept))
                 texts.append(b" ".join(kept))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
-                ["doc_id", "n_words", "n_removed", "text"],
-            )
-
-    return joined.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, n_removed long, text string")
+                sent += len(texts[-1])
+                if sent > SENT_BYTES or n == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(first, len(texts)), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
+                        ["doc_id", "n_words", "n_removed", "text"],
+                    )
+                    first, sent, n_words, n_removed, texts = n + 1, 0, [], [], []
+
+    return joined.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, text string")
