@@ -36,7 +36,13 @@ def map_batches(
     rows: DataFrame, columns: list[str | Column], schema: str, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 ) -> DataFrame:
     """``function`` over the Arrow batches of the named columns."""
-    return rows.select(*columns).mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        # Workers are used again by later stages; what Arrow keeps in reserve goes back.
+        pa.default_memory_pool().release_unused()
+
+    return rows.select(*columns).mapInArrow(run, schema)
 
 
 def free_name(df: DataFrame, name: str) -> str:
