@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from runestone import settings
@@ -37,11 +37,13 @@ def build_corpus(
     sample_size: int | None = None,
     labels: DataFrame | None = None,
     strict: bool = True,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """``doc_id, text, label, label_text, language`` over all languages.
 
     The label space is the default language's, taken before any sampling, and is
-    computed once for all languages.
+    computed once for all languages. ``observation`` gets the cleaning impact while the corpus is
+    written, for ``cleaning.observed_impact``.
     """
     wanted = raw.filter(F.col(language_col).isin(list(languages)))
     labels = labels if labels is not None else language_label_map(raw, default_language, label_text_col, language_col)
@@ -56,7 +58,7 @@ def build_corpus(
         F.col(language_col), key,
     )
     encoded = encode_labels(shaped, labels, "doc_id", strict)
-    return drop_ghosts(clean_corpus(encoded)).select(
+    return drop_ghosts(clean_corpus(encoded, observation, languages)).select(
         "doc_id", "text", "label", "label_text", "language"
     )
 

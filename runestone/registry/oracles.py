@@ -129,6 +129,8 @@ SELECT language, count(*) AS documents, sum(length(text) - length(clean))::BIGIN
   sum(len(regexp_extract_all(text, '[^\\x{{0}}-\\x{{7F}}]')))::BIGINT AS non_ascii_before
 FROM (SELECT lang AS language, text, {sanitize_sql('text')} AS clean FROM documents) GROUP BY language"""
 
+ORACLES["build_impact"] = ORACLES["cleaning_impact"].replace("FROM documents)", "FROM documents WHERE lang IN ('de', 'en', 'es', 'fr'))")
+
 # --- sources -----------------------------------------------------------------
 
 ORACLES["scan_corpus"] = "SELECT doc_id, text, lang, source FROM documents"
@@ -584,19 +586,19 @@ def prune_sql(tensor: str, order: str) -> str:
     return f"""{ENTRIES},
 rk AS (SELECT *, row_number() OVER (PARTITION BY {tensor} ORDER BY abs(w), {order}) AS rn,
   count(*) OVER (PARTITION BY {tensor}) AS size FROM e),
-cut AS (SELECT {tensor} AS tensor, abs(w) AS threshold FROM rk WHERE rn = floor(0.3::DOUBLE * size)::BIGINT)"""
+cut AS (SELECT *, max(CASE WHEN rn = floor(0.3::DOUBLE * size)::BIGINT THEN abs(w) END) OVER (PARTITION BY {tensor}) AS threshold FROM rk)"""
 
 
 ORACLES["prune_vectors"] = f"""
 WITH {prune_sql('vec_id', 'idx')}
-SELECT vec_id, idx, CASE WHEN abs(w) > threshold THEN w ELSE 0 END::DOUBLE AS w FROM e JOIN cut ON tensor = vec_id"""
+SELECT vec_id, idx, CASE WHEN abs(w) > threshold THEN w ELSE 0 END::DOUBLE AS w FROM cut"""
 ORACLES["prune_long"] = f"""
 WITH {prune_sql('label', 'vec_id, idx')}
 SELECT label::VARCHAR AS tensor, vec_id * 64 + idx AS idx, CASE WHEN abs(w) > threshold THEN w ELSE 0 END::DOUBLE AS w
-FROM e JOIN cut ON tensor = label"""
+FROM cut"""
 ORACLES["prune_report"] = f"""
 WITH {prune_sql('vec_id', 'idx')},
-p AS (SELECT vec_id, CASE WHEN abs(w) > threshold THEN w ELSE 0 END AS w FROM e JOIN cut ON tensor = vec_id WHERE label % 2 = 0)
+p AS (SELECT vec_id, CASE WHEN abs(w) > threshold THEN w ELSE 0 END AS w FROM cut WHERE label % 2 = 0)
 SELECT 0.3::DOUBLE AS target_sparsity, count(*) AS params_total, count(*) FILTER (w = 0) AS params_zeroed,
   count(DISTINCT vec_id) AS tensors_pruned, round(count(*) FILTER (w = 0) / count(*)::DOUBLE, 4) AS achieved_sparsity FROM p"""
 
@@ -669,3 +671,28 @@ ORACLES["training_history_falls"] = "SELECT true AS moved, true AS falls"
 ORACLES["select_model_kept"] = """
 SELECT unnest(range(0, 2)) AS candidate, true AS kept_is_best, true AS best_is_returned"""
 ORACLES["model_roundtrip"] = f"SELECT doc_id, true AS equal FROM {VALIDATION}"
+
+
+# --- names, session state and artifacts ---------------------------------------
+
+ORACLES["name_mentions"] = r"""
+WITH listed AS (
+  SELECT lower(n_name) AS name, 'GPE' AS label FROM nation UNION ALL SELECT lower(r_name), 'LOC' FROM region
+  UNION ALL SELECT lower(array_to_string(string_split(text, ' ')[1:4], ' ')), 'PASSAGE' FROM benchmark
+), names AS (SELECT name, min(label) AS label FROM listed WHERE label <> 'PASSAGE' OR regexp_full_match(name, '[a-z]+( [a-z]+)*') GROUP BY name
+), pattern AS (SELECT '\b(?:' || string_agg(name, '|' ORDER BY length(name) DESC, name) || ')\b' AS p FROM names
+), found AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), p)) AS name FROM documents, pattern)
+SELECT doc_id, name, label, count(*) AS n FROM found JOIN names USING (name) GROUP BY ALL"""
+
+ORACLES["stream_session_tags"] = """
+WITH cleared AS (SELECT user_id, max(ts) FILTER (event_type = 'error') AS last FROM events GROUP BY user_id)
+SELECT user_id::VARCHAR AS session, event_type AS tag, count(*) AS n
+FROM events JOIN cleared USING (user_id) WHERE last IS NULL OR ts > last GROUP BY ALL"""
+
+ORACLES["stream_frequent_words"] = f"""
+WITH counts AS (SELECT tag, count(*) AS n FROM (SELECT unnest({TOKENS.replace("(text,", "(lower(text),")}) AS tag FROM documents) GROUP BY tag)
+SELECT tag, n, true AS held FROM counts WHERE n * 400 > (SELECT sum(n) FROM counts)"""
+
+ORACLES["artifact_roundtrip"] = f"""
+WITH {prune_sql('vec_id', 'idx')}, p AS (SELECT vec_id, CASE WHEN abs(w) > threshold THEN w ELSE 0 END AS w FROM cut)
+SELECT vec_id, count(*) AS params, count(*) FILTER (w <> 0) AS kept, round(sum(abs(w::DOUBLE)), 6) AS weight FROM p GROUP BY vec_id"""

@@ -8,10 +8,11 @@ posts are put together from ``conversations``. All rows and whole texts are used
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runestone import settings
@@ -20,12 +21,12 @@ from runestone.functions import text as tx
 from runestone.functions import tokens as tk
 from runestone.functions import vectors as vx
 from runestone.operators import (
-    cleaning, compression, evaluation, features, labels, language, profiling, sampling, subwords, tagging, training,
+    artifact, cleaning, compression, evaluation, features, labels, language, names, network, profiling, sampling, subwords, tagging, training,
 )
 from runestone.plans import compression_job, corpus_build, scoring, training_job
 from runestone.session import fresh_dir, settle
 from runestone.sources import tables
-from runestone.streaming import live
+from runestone.streaming import live, sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -352,6 +353,14 @@ def cleaning_impact(spark, sf):
     return cleaning.cleaning_impact(documents(spark, sf))
 
 
+@query
+def build_impact(spark, sf):
+    """The same sums, observed while the corpus is written."""
+    seen = Observation("impact")
+    corpus_build.build_and_write(documents(spark, sf), fresh_dir(spark, "corpus"), languages=LANGUAGES, observation=seen)
+    return cleaning.observed_impact(spark, seen, LANGUAGES)
+
+
 # --- samples and splits ------------------------------------------------------
 
 @query
@@ -624,6 +633,19 @@ def annotate_plugin(spark, sf):
         joined(F.transform("mentions", lambda m: m["text"])).alias("surfaces"), "error")
 
 
+def passage_names(spark: SparkSession, sf: str) -> DataFrame:
+    """The first four words of each benchmark passage, and the place names, as names of any case."""
+    passages = spark.read.parquet(f"{sf}/benchmark.parquet").select(
+        F.lower(F.substring_index("text", " ", 4)).alias("name"), F.lit("PASSAGE").alias("label"))
+    return gazetteer(spark, sf).unionByName(passages.filter(F.col("name").rlike("^[a-z]+( [a-z]+)*$")))
+
+
+@query
+def name_mentions(spark, sf):
+    found = names.find_names(documents(spark, sf), passage_names(spark, sf)).select("doc_id", F.explode("names").alias("n"))
+    return found.groupBy("doc_id", F.lower("n.text").alias("name"), F.col("n.label").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def tag_counts_doc(spark, sf):
     return tagging.tag_counts_per_document(_tagged(spark, sf))
@@ -727,6 +749,28 @@ def challenger_train(spark, sf):
     return _metrics(training.train_challenger(train), validation)
 
 
+def _network(spark, sf):
+    train, validation = _parts(_quality_split(spark, sf))
+    path = fresh_dir(spark, "network")
+    return network.train_network(train, validation, path, epochs=4), path, validation
+
+
+@query
+def network_history(spark, sf):
+    """Accuracy and loss on both splits after each epoch, and the epoch that is kept."""
+    fit, _, _ = _network(spark, sf)
+    return fit.history.withColumn("kept", F.col("epoch") == fit.best_epoch)
+
+
+@query
+def network_predict(spark, sf):
+    """Validation documents as scored by the checkpoint that is read back."""
+    fit, path, validation = _network(spark, sf)
+    kept = network.load_network(spark, path, fit.best_epoch)
+    scored = training.probability_prediction(kept.probabilities(validation))
+    return scored.select("doc_id", "label", "pred", F.round(F.element_at("probability", 2), 6).alias("probability"))
+
+
 CANDIDATES = [{"c": 0.1}, {"c": 1.0}]
 
 
@@ -969,6 +1013,18 @@ def int8_vectors(spark, sf):
     return coded.select("tensor", F.posexplode("codes").alias("idx", "code"))
 
 
+@query
+def artifact_roundtrip(spark, sf):
+    """Pruned vectors written as a compressed artifact and read back: what each keeps, weight for weight."""
+    rows = vectors(spark, sf).select(F.col("vec_id").cast("string").alias("tensor"), F.lit(2).alias("rank"), F.col("embedding").alias("values"))
+    path = fresh_dir(spark, "artifact")
+    artifact.write_artifact(compression.prune_tensors(rows), path)
+    kept = F.filter("values", lambda w: w != 0)
+    return artifact.read_artifact(spark, path).select(
+        F.col("tensor").cast("long").alias("vec_id"), F.size("values").alias("params"), F.size(kept).alias("kept"),
+        F.round(F.aggregate(kept, F.lit(0.0), lambda acc, w: acc + F.abs(w.cast("double"))), 6).alias("weight"))
+
+
 @query
 def artifact_size(spark, sf):
     sized = [
@@ -1033,3 +1089,28 @@ def stream_monitor(spark, sf):
     path = fresh_dir(spark, "monitor")
     live.replace_at(live.monitor(_score_stream(spark, sf)), path, fresh_dir(spark, "progress")).awaitTermination()
     return live.latest_table(spark, path).withColumn("mean_confidence", F.round("mean_confidence", 6))
+
+
+@query
+def stream_session_tags(spark, sf):
+    """Event types per user since the user's last error, which clears the history."""
+    path = fresh_dir(spark, "sessions")
+    arrived = spark.readStream.schema("event_id long, ts timestamp, user_id long, event_type string, value double, props string").parquet(
+        f"{sf}/events.parque[t]")
+    history = sessions.session_history(
+        arrived, "user_id", "ts", F.array("event_type"), F.col("event_type") == "error", lateness=timedelta(days=3650))
+    live.append_to(history, path, fresh_dir(spark, "progress")).awaitTermination()
+    return sessions.newest(spark.read.parquet(path), "session").filter("tag IS NOT NULL").select("session", "tag", "n")
+
+
+@query
+def stream_frequent_words(spark, sf):
+    """Words that make up more than a 400th of all, with whether the bounded summary of a stream holds their count."""
+    path, size = fresh_dir(spark, "frequent"), 400
+    words = F.explode(tk.word_tokens(F.lower("text"))).alias("tag")
+    arrived = live.document_stream(spark, f"{sf}/documents.parque[t]", STREAM_SCHEMA).select(words)
+    live.append_to(sessions.frequent_tags(arrived, size=size), path, fresh_dir(spark, "progress")).awaitTermination()
+    exact = settle(documents(spark, sf).select(words).groupBy("tag").agg(F.count(F.lit(1)).alias("n")))
+    often = exact.filter(F.col("n") * size > exact.agg(F.sum("n")).scalar())
+    held = F.col("n").between(F.col("at_least"), F.col("at_most"))
+    return often.join(sessions.frequent_counts(spark.read.parquet(path)), "tag", "left").select("tag", "n", F.coalesce(held, F.lit(False)).alias("held"))

@@ -15,6 +15,7 @@ ORACLES = {name: sql for name, sql in contract.oracle_sql().items() if name in Q
 WITHOUT_SQL = {
     "baseline_train", "baseline_predict", "baseline_proba", "training_history",
     "challenger_train", "select_model", "train_report", "cross_validate", "benchmark", "score_trained", "compress_classifier",
+    "network_history", "network_predict",
 }
 
 
