@@ -21,6 +21,20 @@ def awkward(spark):
     return spark.createDataFrame([(*r, "x", 1, True, "k") for r in rows], DOCS + ", kept string, size int, _slice boolean, length string")
 
 
+@pytest.fixture(scope="session")
+def sturdy(spark, awkward):
+    """The awkward rows, and as odd ones that the quality rules keep."""
+    def prose(n, sentences=12):
+        return "\n".join(f"Sentence {n * 1000 + i} tells of thing{n}x{i} and of place{n}y{i}." for i in range(sentences))
+
+    rows = [
+        (20, prose(1), None, None, None), (None, prose(2), "en", "a", 5), (None, prose(3), None, None, None), (21, prose(4), "de", "a", 1),
+        (21, prose(4), "de", "a", 1), (21, prose(5), "fr", "b", 1), (22, prose(6) + "\n\n\x0b \n", "es", "b", 0), (23, prose(7, 9000), "en", "c", 0),
+        (24, prose(8) + "\n\U0001f600 日本語 Ärger über naïve Fälle.", "de", "b", 0), (25, prose(9), "en", "", 0), (26, prose(9), "en", "", 0),
+    ]
+    return awkward.unionByName(spark.createDataFrame([(*r, "x", 1, True, "k") for r in rows], awkward.schema))
+
+
 @pytest.fixture(scope="session")
 def nothing(spark, awkward):
     return awkward.filter("false")

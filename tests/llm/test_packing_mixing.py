@@ -38,7 +38,7 @@ def gapless(placed, capacity):
 @pytest.mark.parametrize("name", ["table", "awkward", "nothing"])
 def test_pieces(request, name):
     docs = request.getfixturevalue(name)
-    pieces = packing.pack(packing.tokenize(docs, tokenizer_path(), 64), 64).collect()
+    pieces = packing.pack(packing.tokenize(docs, tokenizer_path(), 64), 64, slice_bytes=2000).collect()
     want = Counter()
     for doc, text in docs.select("doc_id", "text").collect():
         ids = ids_of(text)

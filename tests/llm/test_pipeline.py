@@ -80,19 +80,22 @@ def test_mix_and_packing(stages):
     assert max(held.values()) <= 4096 and len(held) == brute.best_fit([r["length"] for r in pieces], 4096)
 
 
-@pytest.mark.parametrize("name", ["awkward", "nothing"])
+@pytest.mark.parametrize("name", ["sturdy", "nothing"])
 def test_edges(request, spark, name):
     docs = request.getfixturevalue(name)
     for stage, run in corpus_pipeline.STAGES:
         docs = settle(run(spark, docs, None))
         if stage != "packing":
             assert docs.columns == request.getfixturevalue(name).columns
-    assert docs.count() == 0 if name == "nothing" else docs.count() > 0
+        if name == "sturdy":  # the oddities reach every stage: no id, no source, one id with two texts, a very long text
+            rows = docs.select("doc_id").distinct().collect()
+            assert {r["doc_id"] for r in rows} >= {None, 20, 21, 22, 23, 24, 25}, stage
+    assert docs.isEmpty() == (name == "nothing")
 
 
 def test_registered():
     queries, oracles = contract.queries(), contract.oracle_sql()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(queries) and set(ORACLES) <= set(oracles) and corpus_pipeline.ORACLE_SQL is None
 
 
