@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, is
 written as Parquet and read again as the next one's ``docs``. All but the last
 return the columns of ``documents``.
+
+Defined results: a null or empty text has fewer than 50 words, so the quality rules reject it, as they do
+any short text. Rows without a doc_id, source or language go through all stages; a null doc_id
+stays null. Very long texts are read whole, and cut into pieces only when they are packed. Of equal rows, and of texts that are
+alike, one stays after the near-duplicate stage; rows of one doc_id with different texts are judged by their
+texts. Other columns, whatever their names, are kept up to the last stage. An empty table gives an empty table of the same columns.
 """
 
 from __future__ import annotations
