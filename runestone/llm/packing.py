@@ -43,8 +43,9 @@ REMEMBERED = 100_000
 # Bytes of text that are tokenized at a time, and words in one call of the tokenizer.
 CHUNK = 1 << 20
 WORDS_PER_CALL = 64
-# Pieces that one task ranks.
+# Pieces, and bytes of pieces with their ids, that one task ranks.
 SLICE_ROWS = 100_000
+SLICE_BYTES = 32 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -323,7 +324,7 @@ def _places(lengths: np.ndarray, ranks: np.ndarray, table: tuple[np.ndarray, ...
     return sequence[low] + inside // per[low], offset[low] + inside % per[low] * lengths
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, slice_rows: int = SLICE_ROWS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``pieces`` (with a column ``length``) and the sequence and offset of each.
 
     A length outside 1..capacity raises ``ValueError``. Columns ``sequence_id`` and
@@ -338,8 +339,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, slice_rows: int = SLICE_RO
     if any(n is None or not 1 <= n <= capacity for n in counts):
         raise ValueError("lengths are from 1 to the capacity")
     plan = pieces.sparkSession.sparkContext.broadcast(Plan(counts, capacity).table())
-    slices = max(1, -(-max(counts.values(), default=0) // slice_rows))
-    sliced = pieces.withColumn(place, F.floor(F.col(salt) * slices).cast("int"))
+    # Long pieces bring their ids along, so fewer of them make a slice. At most ``capacity`` lengths have more than one.
+    row_bytes = lambda n: 64 + (4 * n if "ids" in columns else 0)
+    slices = {n: max(-(-c // slice_rows), -(-c * row_bytes(n) // slice_bytes)) for n, c in counts.items()}
+    many = [(n, s) for n, s in slices.items() if s > 1]
+    width = free_name(pieces, "_slices")
+    sliced = pieces
+    if many:
+        named = pieces.sparkSession.createDataFrame(many, f"length {dict(pieces.dtypes)['length']}, {width} long")
+        sliced = sliced.join(F.broadcast(named), "length", "left")
+    share = F.coalesce(width, F.lit(1)) if many else F.lit(1)
+    sliced = sliced.withColumn(place, F.floor(F.col(salt) * share).cast("int"))
     group = [F.col("length"), F.col(place)]
     before = Window.partitionBy("length").orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
