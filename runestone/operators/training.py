@@ -9,7 +9,6 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, HashingTF, IDF, NGram, Normalizer, RegexTokenizer, VectorAssembler,
@@ -22,15 +21,13 @@ from pyspark.sql import functions as F
 from runestone import settings
 from runestone.functions.arrays import argmax
 from runestone.functions.tokens import TOKEN, word_tokens
-from runestone.operators import evaluation
+from runestone.operators import evaluation, regression
 from runestone.operators.features import class_weights, tfidf_vocabulary, tfidf_weights
 from runestone.operators.sampling import assign_folds
 from runestone.operators.scaling import join_dimension
 from runestone.session import settle
 
-# An iterated fit reads its input once per iteration: it is kept on the executors.
 WEIGHT = "_weight"
-ROWS_PER_TASK = 20_000
 # White space, so never part of a token.
 TOKEN_END = "\x1f"
 
@@ -53,27 +50,10 @@ def balanced(df: DataFrame, label: str = "label", key: str = "doc_id") -> DataFr
     return join_dimension(df, weights, [label], "left", salt_by=key)
 
 
-def _regression(rows: int, label: str, c: float, max_iter: int, tol: float) -> LogisticRegression:
-    # Spark divides the loss by the total weight, which is the row count for
-    # balanced weights; the penalty is scaled to match a total-loss objective.
-    return LogisticRegression(
-        family="multinomial", labelCol=label, featuresCol="features", weightCol=WEIGHT,
-        standardization=False, elasticNetParam=0.0, regParam=1.0 / (c * rows), maxIter=max_iter, tol=tol,
-    )
-
-
 def _fit(stages: Sequence[Transformer], df: DataFrame, label: str, key: str, c: float, max_iter: int,
          tol: float) -> Fitted:
-    features = PipelineModel(list(stages))
-    ready = balanced(features.transform(df).select(key, label, "features"), label, key).cache()
-    try:
-        rows = ready.count()
-        # Every iteration is a job: few rows are read by few tasks.
-        few = ready.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
-        model = _regression(rows, label, c, max_iter, tol).fit(few)
-        losses = list(model.summary.objectiveHistory)
-    finally:
-        ready.unpersist()
+    ready = balanced(PipelineModel(list(stages)).transform(df).select(key, label, "features"), label, key)
+    model, losses = regression.fit(ready, label, WEIGHT, c, max_iter, tol)
     return Fitted(PipelineModel([*stages, model]), losses)
 
 
