@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.functions.arrays import word_frequencies
+from runestone.functions.arrow import in_slices, list_ends, lists_of
 from runestone.functions.tokens import word_tokens
 from runestone.operators.scaling import top_rows
 from runestone.session import settle
@@ -57,18 +58,22 @@ def tfidf_weights(df: DataFrame, vocabulary: DataFrame, text: str = "text", key:
         raise ValueError(f"{size} bytes of terms, more than {max_bytes}")
     shared = vocabulary.sparkSession.sparkContext.broadcast({r.term: r.idf for r in vocabulary.collect()})
 
-    @F.pandas_udf("array<double>")
-    def weigh(words: pd.Series, counts: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<double>")
+    def weigh(words: pa.Array, counts: pa.Array) -> pa.Array:
         idf = shared.value.get
 
-        def document(own, tf):
-            if own is None:
-                return None
-            raw = np.array([idf(word, 0.0) for word in own]) * tf
-            norm = np.sqrt((raw * raw).sum())
-            return raw / norm if norm else raw
-
-        return pd.Series([document(w, n) for w, n in zip(words, counts)], dtype="object")
+        def documents(own: pa.Array, tf: pa.Array) -> pa.Array:
+            terms, ends = own.flatten().dictionary_encode(), list_ends(own)
+            known = np.array([idf(word, 0.0) for word in terms.dictionary.to_pylist()], "float64")
+            raw = known[terms.indices.to_numpy(zero_copy_only=False)] * tf.flatten().to_numpy(zero_copy_only=False)
+            for start, end in zip(ends, ends[1:]):
+                document = raw[start:end]
+                norm = np.sqrt((document * document).sum())
+                if norm:
+                    document /= norm
+            return lists_of(ends, pa.array(raw), own)
+
+        return in_slices(documents, words, counts)
 
     terms = df.select(key, word_frequencies(word_tokens(F.lower(F.col(text)))).alias("_terms"))
     words, counts = F.col("_terms.word"), F.col("_terms.n")

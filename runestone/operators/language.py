@@ -14,13 +14,14 @@ from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.functions import text as tx
 from runestone.functions.arrays import word_frequencies
+from runestone.functions.arrow import in_slices
 from runestone.operators.scaling import join_dimension, top_rows
 from runestone.session import settle
 
@@ -148,7 +149,7 @@ def row_detector(
     shared = profiles.grams.sparkSession.sparkContext.broadcast((grams, words))
     order = sorted(range(len(languages)), key=languages.__getitem__)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of_gram, of_word = shared.value
         remembered: dict[str, tuple[int, ...] | None] = {}
 
@@ -163,9 +164,9 @@ def row_detector(
                 remembered[word] = tuple(map(sum, zip(*known))) if known else None
             return remembered[word]
 
-        for texts in batches:
+        def documents(texts: pa.Array) -> pa.Array:
             found = []
-            for text in texts:
+            for text in texts.to_pylist():
                 sums = None
                 for word, n in Counter(text.split(" ")).items() if text else ():
                     own = score(word)
@@ -176,12 +177,13 @@ def row_detector(
                 else:
                     best = max(order, key=lambda i: sums[i])  # the first name on a tie
                     found.append((languages[best], sums[best]))
-            yield pd.DataFrame({
-                "detected": pd.Series([d for d, _ in found], dtype="object"),
-                "score": pd.array([s for _, s in found], dtype="Int64"),
-            })
+            return pa.StructArray.from_arrays(
+                [pa.array([d for d, _ in found], pa.string()), pa.array([s for _, s in found], pa.int64())], ["detected", "score"])
 
-    udf = F.pandas_udf(run, "detected string, score long").asNondeterministic()
+        for batch in batches:
+            yield in_slices(documents, batch)
+
+    udf = F.arrow_udf(run, "detected string, score long").asNondeterministic()
     # The JVM finds the words, as it does when profiles are fitted.
     return lambda text: udf(F.array_join(_words(text), " "))
 

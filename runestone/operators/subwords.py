@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runestone import settings
+from runestone.functions.arrow import in_slices, list_ends, lists_of
 from runestone.functions.tokens import word_tokens
 from runestone.operators.scaling import top_rows
 from runestone.session import settle
@@ -82,21 +84,25 @@ def subword_encoder(vocabulary: DataFrame, max_bytes: int = settings.BROADCAST_M
                 return [UNKNOWN]
         return pieces
 
-    @F.pandas_udf("array<string>")
-    def encode(batch: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def encode(batch: pa.Array) -> pa.Array:
         done: dict[str, list[str]] = {}
 
-        def document(tokens):
-            if tokens is None:
-                return None
-            out = []
-            for token in tokens:
-                if token not in done:
-                    done[token] = split(token)
-                out.extend(done[token])
-            return out
-
-        return batch.map(document)
+        def documents(lists: pa.Array) -> pa.Array:
+            tokens = lists.flatten().dictionary_encode()
+            words = tokens.dictionary.to_pylist()
+            for word in words:
+                if word not in done:
+                    done[word] = split(word)
+            sizes = np.array([len(done[word]) for word in words], np.int64)
+            codes = tokens.indices.to_numpy(zero_copy_only=False)
+            n = sizes[codes]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            at = np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], n) + np.arange(ends[-1])
+            pieces = pa.array([piece for word in words for piece in done[word]], pa.string())
+            return lists_of(ends[list_ends(lists)], pieces.take(pa.array(at, pa.int64())), lists)
+
+        return in_slices(documents, batch)
 
     return encode
 

@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.functions.arrays import majority_labels, most_common, word_frequencies
+from runestone.functions.arrow import in_slices, list_ends, lists_of
 from runestone.functions.text import strip_edges
 from runestone.functions.tokens import LETTER_RUN
 from runestone.operators.scaling import join_dimension
@@ -84,10 +86,16 @@ def name_lookup(
         raise OverflowError(f"a gazetteer of {size.rows} names and {size.bytes} bytes is not sent around")
     shared = names.sparkSession.sparkContext.broadcast({row.name: row.label for row in names.collect()})
 
-    @F.pandas_udf("array<string>")
-    def lookup(batch: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def lookup(batch: pa.Array) -> pa.Array:
         label = shared.value.get
-        return batch.map(lambda found: None if found is None else [label(name) for name in found])
+
+        def documents(lists: pa.Array) -> pa.Array:
+            found = lists.flatten().dictionary_encode()
+            labels = pa.array([label(name) for name in found.dictionary.to_pylist()], pa.string())
+            return lists_of(list_ends(lists), labels.take(found.indices), lists)
+
+        return in_slices(documents, batch)
 
     return lookup
 

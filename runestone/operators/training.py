@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.functions.arrays import argmax
+from runestone.functions.arrow import in_slices
 from runestone.functions.tokens import TOKEN, word_tokens
 from runestone.operators import evaluation, regression
 from runestone.operators.features import class_weights, tfidf_vocabulary, tfidf_weights
@@ -163,21 +165,25 @@ def linear_probabilities(df: DataFrame, parts: LinearText, text: str = "clean_te
     shared = df.sparkSession.sparkContext.broadcast(
         ({term: i for i, term in enumerate(parts.terms)}, parts.idf, parts.weights.T.copy(), parts.intercepts))
 
-    @F.pandas_udf("array<double>")
-    def probabilities(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<double>")
+    def probabilities(batch: pa.Array) -> pa.Array:
         places, idf, weights, intercepts = shared.value
-        out = []
-        for tokens in texts:
-            counts = Counter(tokens.split(TOKEN_END)) if tokens else {}
-            found = [(places[w], n) for w, n in counts.items() if w in places]
-            scores = intercepts.copy()
-            if found:
-                at = np.array([i for i, _ in found])
-                raw = np.array([n for _, n in found], "float64") * idf[at]
-                scores = scores + (raw / np.sqrt((raw * raw).sum())) @ weights[at]
-            e = np.exp(scores - scores.max())
-            out.append(e / e.sum())
-        return pd.Series(out, dtype="object")
+
+        def documents(texts: pa.Array) -> pa.Array:
+            out = []
+            for tokens in texts.to_pylist():
+                counts = Counter(tokens.split(TOKEN_END)) if tokens else {}
+                found = [(places[w], n) for w, n in counts.items() if w in places]
+                scores = intercepts.copy()
+                if found:
+                    at = np.array([i for i, _ in found])
+                    raw = np.array([n for _, n in found], "float64") * idf[at]
+                    scores = scores + (raw / np.sqrt((raw * raw).sum())) @ weights[at]
+                e = np.exp(scores - scores.max())
+                out.append(e / e.sum())
+            return pa.array(out, pa.list_(pa.float64()))
+
+        return in_slices(documents, batch)
 
     return df.withColumn(into, probabilities(F.array_join(word_tokens(F.lower(F.col(text))), TOKEN_END)))
 
