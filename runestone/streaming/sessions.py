@@ -8,10 +8,13 @@ version; ``newest`` picks the last one.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import timedelta
+from itertools import chain
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -55,7 +58,7 @@ def advance_history(state: tuple, batch: Iterator[tuple], lateness: int) -> tupl
 
 
 def advance_summary(state: tuple, batches: Iterator[Counter], size: int) -> tuple:
-    """The summary of a part after batches of tag counts.
+    """The summary of a part after batches of tag counts, or of summaries (counts, total, short).
 
     Counters are lower bounds. When there are more than ``size``, the largest that must go is taken from
     all; the sum of what was taken so is the most by which a counter can be short, and at
@@ -64,8 +67,10 @@ def advance_summary(state: tuple, batches: Iterator[Counter], size: int) -> tupl
     total, short, version, tags, counts = state
     kept = Counter(dict(zip(tags, counts, strict=True)))
     for batch in batches:
-        kept.update(batch)
-        total += batch.total()
+        own, n, missed = batch if isinstance(batch, tuple) else (batch, batch.total(), 0)
+        kept.update(own)
+        total += n
+        short += missed
         if len(kept) > size:
             taken = sorted(kept.values(), reverse=True)[size]
             short += taken
@@ -73,6 +78,27 @@ def advance_summary(state: tuple, batches: Iterator[Counter], size: int) -> tupl
     return total, short, version + 1, list(kept), list(kept.values())
 
 
+def _summarized(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One summary of a split's (part, tag) rows; the row without a tag tells its total and what it is short of."""
+
+    def counters(batches: Iterator[pa.RecordBatch]) -> Iterator[Counter]:
+        for batch in batches:
+            counted = pc.value_counts(batch.column(1))
+            yield Counter(dict(zip(counted.field("values").to_pylist(), counted.field("counts").to_pylist(), strict=True)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((batch for batch in batches if batch.num_rows), None)
+        if first is None:
+            return
+        part = first.column(0)[0].as_py()
+        total, short, _, tags, counts = advance_summary((0, 0, 0, [], []), counters(chain([first], batches)), size)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part] * (1 + len(tags)), pa.int32()), pa.array([None, *tags], pa.string()), pa.array([total, *counts], pa.int64()),
+             pa.array([short] + [0] * len(tags), pa.int64())], ["part", "tag", "n", "short"])
+
+    return run
+
+
 def session_history(
     events: DataFrame, session: str | Column, at: str | Column, tags: str | Column, clear: str | Column,
     lateness: timedelta = timedelta(hours=1), ttl: timedelta | None = None,
@@ -117,16 +143,25 @@ def frequent_tags(tags: DataFrame, tag: str = "tag", size: int = 1000, parts: in
     """Summaries of a stream with one tag a row, for ``frequent_counts``: ``(part, version, tag, n, short, total)``.
 
     Rows go to ``parts`` summaries of ``size`` counters by the split they come from, so a tag that owns a third of
-    the rows burdens no single one. The state holds at most parts * size tags, however many occur.
+    the rows burdens no single one. The state holds at most parts * size tags, however many occur. A split is
+    summarized where it is read: ``size`` counters of it are shuffled, not its rows.
     """
-    dealt = tags.filter(F.col(tag).isNotNull()).select(F.pmod(F.spark_partition_id(), F.lit(parts)).alias("part"), F.col(tag).alias("tag"))
+    rows = tags.filter(F.col(tag).isNotNull()).select(F.pmod(F.spark_partition_id(), F.lit(parts)).alias("part"), F.col(tag).alias("tag"))
+    dealt = rows.mapInArrow(_summarized(size), "part int, tag string, n long, short long")
+
+    def merged(p: pd.DataFrame) -> tuple[Counter, int, int]:
+        counts, totals = p[p["tag"].notna()], p[p["tag"].isna()]
+        kept = Counter()
+        for tag, n in zip(counts["tag"].tolist(), counts["n"].tolist(), strict=True):
+            kept[tag] += n
+        return kept, int(totals["n"].sum()), int(totals["short"].sum())
 
     def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         held = state.get if state.exists else (0, 0, 0, [], [])
-        now = advance_summary(tuple(held), (Counter(p["tag"].tolist()) for p in parts), size)
+        now = advance_summary(tuple(held), (merged(p) for p in parts), size)
         state.update(now)
         _kept_for(state, ttl)
         # The row without a tag tells what is true of the part.
