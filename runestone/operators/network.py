@@ -35,6 +35,8 @@ from runestone.session import remove_dir, settle
 BLOCK = 1 << 16
 MIXED_ROWS = 4096
 EPSILON = 1e-15
+# Weights that a step changes at a time.
+PART = 1 << 14
 # Rows of a shard, at least, where their number is not given.
 SHARD_ROWS = 1500
 
@@ -151,10 +153,13 @@ class Steps:
 
     def take(self, slopes: np.ndarray) -> None:
         self.n += 1
-        self.mean += 0.1 * (slopes - self.mean)
-        self.square += 0.001 * (slopes * slopes - self.square)
         rate = self.rate * np.sqrt(1 - 0.999 ** self.n) / (1 - 0.9 ** self.n)
-        self.flat -= (rate * self.mean / (np.sqrt(self.square) + 1e-7)).astype(self.flat.dtype)
+        # A part at a time, which stays in the processor's cache between the operations.
+        for at in range(0, len(self.flat), PART):
+            flat, mean, square, slope = (a[at:at + PART] for a in (self.flat, self.mean, self.square, slopes))
+            mean += 0.1 * (slope - mean)
+            square += 0.001 * (slope * slope - square)
+            flat -= (rate * mean / (np.sqrt(square) + 1e-7)).astype(flat.dtype)
 
 
 def _documents(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
