@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, SparkContext, StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.common import _py2java
 from pyspark.ml.linalg import DenseMatrix, Vectors
@@ -162,10 +162,10 @@ def fit(df: DataFrame, label: str, weight: str, c: float, max_iter: int, tol: fl
         return _model(begin), []
     packed = given.withColumn("label", F.col("label").cast("int")).mapInArrow(
         _packed, "rows binary, places binary, values binary, labels binary, weights binary")
-    blocks: RDD = packed.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+    packed.persist(StorageLevel.MEMORY_AND_DISK)
     # Packed by all tasks at once; every step is a job, in which few rows are read by few tasks.
-    blocks.count()
-    few = blocks.coalesce(max(1, -(-rows // rows_per_task)))
+    packed.count()
+    few = packed.coalesce(max(1, -(-rows // rows_per_task))).rdd
 
     def evaluate(flat: np.ndarray) -> tuple[float, np.ndarray]:
         weights = flat.reshape(classes, size + 1)
@@ -188,7 +188,7 @@ def fit(df: DataFrame, label: str, weight: str, c: float, max_iter: int, tol: fl
     try:
         flat, losses = minimize(evaluate, begin.ravel(), max_iter, tol)
     finally:
-        blocks.unpersist()
+        packed.unpersist()
     weights = flat.reshape(classes, size + 1).copy()
     weights[:, size] -= weights[:, size].mean()
     return _model(weights), losses
