@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
-    CountVectorizerModel, ElementwiseProduct, HashingTF, IDF, NGram, Normalizer, RegexTokenizer, VectorAssembler,
+    CountVectorizerModel, ElementwiseProduct, HashingTF, NGram, Normalizer, RegexTokenizer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -21,17 +20,14 @@ from pyspark.sql import functions as F
 
 from runestone import settings
 from runestone.functions.arrays import argmax
-from runestone.functions.arrow import in_slices
-from runestone.functions.tokens import TOKEN, word_tokens
-from runestone.operators import evaluation, regression
-from runestone.operators.features import class_weights, tfidf_vocabulary, tfidf_weights
+from runestone.functions.tokens import TOKEN
+from runestone.operators import counts, evaluation, regression
+from runestone.operators.features import class_weights, tfidf_weights, vocabulary_of
 from runestone.operators.sampling import assign_folds
 from runestone.operators.scaling import join_dimension
-from runestone.session import settle
+from runestone.session import scratch, settle
 
 WEIGHT = "_weight"
-# White space, so never part of a token.
-TOKEN_END = "\x1f"
 
 
 @dataclass(frozen=True)
@@ -52,13 +48,6 @@ def balanced(df: DataFrame, label: str = "label", key: str = "doc_id") -> DataFr
     return join_dimension(df, weights, [label], "left", salt_by=key)
 
 
-def _fit(stages: Sequence[Transformer], df: DataFrame, label: str, key: str, c: float, max_iter: int,
-         tol: float) -> Fitted:
-    ready = balanced(PipelineModel(list(stages)).transform(df).select(key, label, "features"), label, key)
-    model, losses = regression.fit(ready, label, WEIGHT, c, max_iter, tol)
-    return Fitted(PipelineModel([*stages, model]), losses)
-
-
 def _checked(df: DataFrame, label: str, text: str) -> DataFrame:
     if df is None:
         raise ValueError("training data is missing")
@@ -80,18 +69,24 @@ def train_baseline(
 ) -> Fitted:
     """TF-IDF over word tokens and a balanced multinomial logistic regression."""
     _checked(train, label, text)
-    # At most max_features rows: the vocabulary is part of the model.
-    vocabulary = tfidf_vocabulary(train, max_features, text, key).orderBy(F.desc("term_count"), "term").collect()
-    if not vocabulary:
-        raise ValueError("no terms to learn from")
-    counter = CountVectorizerModel.from_vocabulary([r.term for r in vocabulary], "terms", "counts")
-    stages = [
+    with scratch(train.sparkSession):
+        rows = balanced(train.select(key, label, text), label, key)
+        totals = regression.class_totals(rows, label, WEIGHT)
+        # Texts are cut into words once, for the vocabulary and for the rows.
+        counted = settle(counts.term_blocks(rows, text, label, WEIGHT))
+        # At most max_features rows: the vocabulary is part of the model.
+        vocabulary = vocabulary_of(counted, max_features).orderBy(F.desc("term_count"), "term").collect()
+        if not vocabulary:
+            raise ValueError("no terms to learn from")
+        terms, idf = [r.term for r in vocabulary], np.array([r.idf for r in vocabulary])
+        model, losses = regression.fit_blocks(regression.normalized(counted, idf, terms), totals, idf, c, max_iter, tol)
+    return Fitted(PipelineModel([
         RegexTokenizer(inputCol=text, outputCol="terms", pattern=TOKEN, gaps=False, toLowercase=True),
-        counter,
-        ElementwiseProduct(scalingVec=Vectors.dense([r.idf for r in vocabulary]), inputCol="counts", outputCol="raw"),
+        CountVectorizerModel.from_vocabulary(terms, "terms", "counts"),
+        ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="raw"),
         Normalizer(p=2.0, inputCol="raw", outputCol="features"),
-    ]
-    return _fit(stages, train, label, key, c, max_iter, tol)
+        model,
+    ]), losses)
 
 
 def train_challenger(
@@ -116,10 +111,18 @@ def train_challenger(
         HashingTF(numFeatures=char_buckets, inputCol="grams", outputCol="gram_counts"),
         VectorAssembler(inputCols=["word_counts", "gram_counts"], outputCol="counts"),
     ]
-    counted = PipelineModel(hashing).transform(train).select("counts")
-    idf = IDF(inputCol="counts", outputCol="raw").fit(counted)
-    return _fit([*hashing, idf, Normalizer(p=2.0, inputCol="raw", outputCol="features")],
-                train, label, key, c, max_iter, tol)
+    with scratch(train.sparkSession):
+        rows = balanced(train.select(key, label, text), label, key)
+        totals = regression.class_totals(rows, label, WEIGHT)
+        # What the stages count is counted once, for the idf and for the rows.
+        counted = settle(counts.hashed_blocks(rows, text, label, WEIGHT, word_buckets, char_buckets))
+        found = counts.doc_counts(counted, word_buckets + char_buckets)
+        idf = np.log((sum(n for _, n in totals.values()) + 1.0) / (found + 1.0))
+        model, losses = regression.fit_blocks(regression.normalized(counted, idf), totals, idf, c, max_iter, tol)
+    return Fitted(PipelineModel([
+        *hashing, ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="raw"),
+        Normalizer(p=2.0, inputCol="raw", outputCol="features"), model,
+    ]), losses)
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
@@ -163,29 +166,30 @@ def linear_parts(model: PipelineModel) -> LinearText:
 def linear_probabilities(df: DataFrame, parts: LinearText, text: str = "clean_text", into: str = "probability") -> DataFrame:
     """Add the model's probabilities without Spark ML: variants are served this way, in batches and on streams."""
     shared = df.sparkSession.sparkContext.broadcast(
-        ({term: i for i, term in enumerate(parts.terms)}, parts.idf, parts.weights.T.copy(), parts.intercepts))
+        (pa.array(parts.terms, pa.string()), parts.idf, parts.weights, parts.intercepts))
+    kinds = counts.shared_kinds(df.sparkSession)
 
     @F.arrow_udf("array<double>")
     def probabilities(batch: pa.Array) -> pa.Array:
-        places, idf, weights, intercepts = shared.value
+        known, idf, weights, intercepts = shared.value
 
         def documents(texts: pa.Array) -> pa.Array:
-            out = []
-            for tokens in texts.to_pylist():
-                counts = Counter(tokens.split(TOKEN_END)) if tokens else {}
-                found = [(places[w], n) for w, n in counts.items() if w in places]
-                scores = intercepts.copy()
-                if found:
-                    at = np.array([i for i, _ in found])
-                    raw = np.array([n for _, n in found], "float64") * idf[at]
-                    scores = scores + (raw / np.sqrt((raw * raw).sum())) @ weights[at]
-                e = np.exp(scores - scores.max())
-                out.append(e / e.sum())
-            return pa.array(out, pa.list_(pa.float64()))
+            terms, rows, numbers, found = counts.word_counts(texts, kinds.value)
+            at = regression.places_of(terms, known)[numbers]
+            kept = at >= 0
+            rows, at = rows[kept], at[kept]
+            raw = found[kept] * idf[at]
+            norms = np.sqrt(regression.row_sums(rows, raw * raw, len(texts)))
+            raw = raw / norms[rows]
+            scores = np.stack([regression.row_sums(rows, raw * line[at], len(texts)) for line in weights], axis=1) + intercepts
+            e = np.exp(scores - scores.max(axis=1, keepdims=True))
+            e /= e.sum(axis=1, keepdims=True)
+            ends = np.arange(len(texts) + 1) * len(weights)
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(e.ravel()))
 
-        return in_slices(documents, batch)
+        return counts.text_by_text(documents, batch)
 
-    return df.withColumn(into, probabilities(F.array_join(word_tokens(F.lower(F.col(text))), TOKEN_END)))
+    return df.withColumn(into, probabilities(F.lower(F.col(text))))
 
 
 def linear_scorer(parts: LinearText) -> Callable[[DataFrame], DataFrame]:
@@ -201,18 +205,20 @@ def largest_gradient(fitted: Fitted, train: DataFrame, label: str = "label", tex
     """
     spark, parts = train.sparkSession, linear_parts(fitted.model)
     vocabulary = spark.createDataFrame([(t, float(x)) for t, x in zip(parts.terms, parts.idf)], "term string, idf double")
-    rows = settle(balanced(train.select(key, label, text), label, key))
+    scored = linear_probabilities(balanced(train.select(key, label, text), label, key), parts, text, "_chances")
+    rows = settle(scored.withColumn("_errors", F.transform("_chances", lambda p, i: (
+        F.col(WEIGHT) * (p - (F.col(label) == i).cast("double"))))).select(key, text, "_errors", WEIGHT))
     total, n = rows.agg(F.sum(WEIGHT), F.count(F.lit(1))).first()
-    weighed = tfidf_weights(rows, vocabulary, text, key)
-    scored = linear_probabilities(rows, parts, text, "_chances")
-    errors = settle(scored.select(key, F.posexplode("_chances").alias("class", "p"), label, WEIGHT).select(
-        key, "class", (F.col(WEIGHT) * (F.col("p") - (F.col(label) == F.col("class")).cast("double")) / total).alias("error")))
-    by_term = weighed.join(errors, key).groupBy("term", "class").agg(F.sum(F.col("weight") * F.col("error")).alias("g")).collect()
+    # A document's errors stay beside its terms: what is shuffled are sums of the tasks, a row per class and term.
+    weighed = tfidf_weights(rows, vocabulary, text, key, keep=["_errors"])
+    by_term = weighed.select("term", "weight", F.posexplode("_errors").alias("class", "error")).groupBy("term", "class").agg(
+        F.sum(F.col("weight") * F.col("error") / total).alias("g")).collect()
     gradient = parts.weights / (c * n)
     places = {t: i for i, t in enumerate(parts.terms)}
     for row in by_term:  # at most classes x vocabulary
         gradient[row["class"], places[row.term]] += row.g
-    intercepts = errors.groupBy("class").agg(F.sum("error").alias("g")).collect()
+    intercepts = rows.select(F.posexplode("_errors").alias("class", "error")).groupBy("class").agg(
+        F.sum(F.col("error") / total).alias("g")).collect()
     return float(max(np.abs(gradient).max(), *(abs(r.g) for r in intercepts)))
 
 
